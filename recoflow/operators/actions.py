@@ -29,19 +29,19 @@ def action_flags(actions: DataFrame) -> DataFrame:
     An exposure names a JSON list of articles and becomes one row per article;
     every other action names one article. ``exposure`` is true for all: an
     article that was clicked had been shown. ``read_time`` becomes a number
-    here, so that later maxima are numeric.
+    here, so that later maxima are numeric. Rows without a valid id drop out.
     """
     shown = F.col("action") == "exposure"
     ids = F.when(shown, F.from_json("article_ids", "array<bigint>")).otherwise(
         F.array(F.col("article_ids").try_cast("long")))
     return actions.select(
-        "user_id", "action_time", F.explode(ids).alias("article_id"), "channel_id",
+        "user_id", "action_time", F.explode_outer(ids).alias("article_id"), "channel_id",
         (F.col("action") == "share").alias("shared"),
         (F.col("action") == "click").alias("clicked"),
         (F.col("action") == "collect").alias("collected"),
         F.lit(True).alias("exposure"),
         F.col("read_time").try_cast("double").alias("read_time"),
-    )
+    ).where(F.col("article_id").isNotNull())
 
 
 def fold(rows: DataFrame) -> DataFrame:

@@ -51,5 +51,5 @@ def roc_curve(scores: DataFrame, bins: int = 1000) -> DataFrame:
     every = Window.partitionBy()
     return binned.select(
         (F.col("bin") / bins).alias("threshold"),
-        (F.sum("neg").over(above) / F.sum("neg").over(every)).alias("fpr"),
-        (F.sum("pos").over(above) / F.sum("pos").over(every)).alias("tpr"))
+        F.try_divide(F.sum("neg").over(above), F.sum("neg").over(every)).alias("fpr"),
+        F.try_divide(F.sum("pos").over(above), F.sum("pos").over(every)).alias("tpr"))

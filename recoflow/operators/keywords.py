@@ -66,13 +66,24 @@ def term_counts(tokens: DataFrame) -> DataFrame:
     return tokens.select("article_id", "channel_id", terms.alias("terms"))
 
 
+def term_rows(tokens: DataFrame) -> DataFrame:
+    """(article_id, channel_id, t struct<term, tf>): one row per term of an article.
+
+    The outer form of explode: the inner one is preceded by an inferred
+    non-empty filter that would compute the counts a second time.
+    """
+    return (term_counts(tokens)
+            .select("article_id", "channel_id", F.explode_outer("terms").alias("t"))
+            .where(F.col("t").isNotNull()))
+
+
 def idf_table(tokens: DataFrame, vocab_size: int = 20_000) -> DataFrame:
     """(keyword, idf, index): the ``vocab_size`` most frequent terms of the corpus.
 
     idf = ln((m + 1) / (df + 1)) over m documents; the index is the frequency
     rank, ties by term. Ranking happens on at most ``vocab_size`` rows.
     """
-    exploded = term_counts(tokens).select(F.explode("terms").alias("t"))
+    exploded = term_rows(tokens).select("t")
     frequencies = exploded.groupBy(F.col("t.term").alias("keyword")).agg(
         F.count(F.lit(1)).alias("df"), F.sum("t.tf").alias("n"))
     vocabulary = frequencies.orderBy(F.desc("n"), "keyword").limit(vocab_size)
@@ -96,9 +107,8 @@ def tfidf_topk(tokens: DataFrame, idf: DataFrame, k: int = 20,
     Values are rounded to 4 places; ties go to the smaller term. ``vocab_size``
     is the size bound of ``idf`` and decides how it is joined.
     """
-    terms = term_counts(tokens).select("article_id", "channel_id", F.explode("terms").alias("t"))
     scored = _join_idf(
-        terms.select("article_id", "channel_id", F.col("t.term").alias("keyword"), "t.tf"),
+        term_rows(tokens).select("article_id", "channel_id", F.col("t.term").alias("keyword"), "t.tf"),
         idf, vocab_size,
     ).select("article_id", "channel_id", "keyword",
              F.round(F.col("tf") * F.col("idf"), 4).alias("tfidf"))
@@ -114,8 +124,8 @@ def word_graph(docs: DataFrame, text_col: str = "sentence", window: int = 5, min
 
     Two keyword candidates are linked when they are less than ``window`` words
     apart, counting every word in between. ``nodes`` is sorted by ``i``, which
-    numbers the article's candidates from 1; each node has its term, its total
-    weight ``out`` and its links ``nbrs array<struct<j, w>>``.
+    numbers the article's candidates from 1; each node has its term and ``nbrs``,
+    the numbers of its neighbours, one entry per common occurrence.
     """
     split = tokenizer(F.col(text_col)) if tokenizer else tx.split_words(F.col(text_col))
     # A fixed partition count: text expands far beyond its shuffled bytes, so
@@ -124,7 +134,7 @@ def word_graph(docs: DataFrame, text_col: str = "sentence", window: int = 5, min
     words = (
         docs.select("article_id", "channel_id", text_col)
         .repartition(partitions, "article_id")
-        .select("article_id", "channel_id", F.posexplode(split).alias("pos", "word"))
+        .select("article_id", "channel_id", F.posexplode_outer(split).alias("pos", "word"))
         .withColumn("term", F.when(tx.is_keyword(F.col("word"), min_len, stopwords), F.col("word")))
     )
     by_term = Window.partitionBy("article_id").orderBy(F.asc_nulls_last("term"))
@@ -132,31 +142,18 @@ def word_graph(docs: DataFrame, text_col: str = "sentence", window: int = 5, min
     numbered = words.select(
         "article_id", "channel_id", "pos", "term",
         F.when(F.col("term").isNotNull(), F.dense_rank().over(by_term)).alias("i"))
-    followers = numbered.select(
-        "article_id", "channel_id", "term", "i",
-        *[F.lead("i", d).over(by_pos).alias(f"j{d}") for d in range(1, window)],
+    # A word's neighbours lie before and after it, so every pair is seen from
+    # both sides and each occurrence adds one unit of weight to each.
+    around = [F.lag("i", d).over(by_pos) for d in range(1, window)] + [
+        F.lead("i", d).over(by_pos) for d in range(1, window)]
+    occurrences = numbered.select(
+        "article_id", "channel_id", "term", "i", F.array(*around).alias("near"),
     ).where(F.col("i").isNotNull())
-
-    def link(a: Column, b: Column, term: Column, w: Column) -> Column:
-        return F.struct(a.alias("i"), b.alias("j"), term.alias("term"), w.alias("w"))
-
-    # The first entry names the node, so that isolated ones keep their number.
-    no_term, none, i = F.lit(None).cast("string"), F.lit(None).cast("int"), F.col("i")
-    links = [link(i, none, F.col("term"), F.lit(0))]
-    for d in range(1, window):
-        j = F.col(f"j{d}")
-        links += [F.when(j.isNotNull(), link(i, j, no_term, F.lit(1))),
-                  F.when(j.isNotNull(), link(j, i, no_term, F.lit(1)))]
-    edges = (
-        followers.select("article_id", "channel_id", F.explode(F.array(*links)).alias("e"))
-        .where(F.col("e").isNotNull()).select("article_id", "channel_id", "e.*")
-        .groupBy("article_id", "channel_id", "i", "j", "term").agg(F.sum("w").cast("double").alias("w"))
-    )
-    nodes = edges.groupBy("article_id", "channel_id", "i").agg(
-        F.max("term").alias("term"), F.sum("w").alias("out"),
-        F.collect_list(F.when(F.col("j").isNotNull(), F.struct("j", "w"))).alias("nbrs"))
+    nodes = occurrences.groupBy("article_id", "channel_id", "i").agg(
+        F.max("term").alias("term"),
+        F.flatten(F.collect_list(F.array_compact("near"))).alias("nbrs"))
     return nodes.groupBy("article_id", "channel_id").agg(
-        F.sort_array(F.collect_list(F.struct("i", "term", "out", "nbrs"))).alias("nodes"))
+        F.sort_array(F.collect_list(F.struct("i", "term", "nbrs"))).alias("nodes"))
 
 
 def textrank(docs: DataFrame, text_col: str = "sentence", window: int = 5, k: int = 20,
@@ -166,26 +163,26 @@ def textrank(docs: DataFrame, text_col: str = "sentence", window: int = 5, k: in
     """(article_id, channel_id, keyword, textrank): the k best-ranked terms.
 
     Damped rank over the word graph: every iteration sets each node to
-    (1 - d) + d * sum(w / out(neighbour) * rank(neighbour)), all nodes at once.
+    (1 - d) + d * sum(w / weight(neighbour) * rank(neighbour)), all nodes at once.
     Ranks are then scaled as (r - min/10) / (max - min/10). Order is by the
     value rounded to 8 places, ties by term. Tags are not removed first.
     """
     graph = word_graph(docs, text_col, window, min_len, stopwords, tokenizer)
-    pull = lambda n, state: F.aggregate(
-        n["nbrs"], F.lit(0.0), lambda acc, e: acc + e["w"] * F.get(state, e["j"] - 1))
 
     def iterate(nodes: Column) -> Column:
-        # The state is rank / out, which is what neighbours read.
-        size = F.size(F.filter(nodes, lambda n: n["out"] > 0))
-        start = let(size, lambda s: F.transform(
-            nodes, lambda n: F.when(n["out"] > 0, F.lit(1.0) / s / n["out"])))
-        step = lambda state: F.transform(nodes, lambda n: F.when(
-            n["out"] > 0, (F.lit(1 - damping) + F.lit(damping) * pull(n, state)) / n["out"]))
+        # The state is rank / weight, which is what neighbours read.
+        size = F.size(F.filter(nodes, lambda n: F.size(n["nbrs"]) > 0))
+        start = let(size, lambda s: F.transform(nodes, lambda n: F.try_divide(F.lit(1.0), s * F.size(n["nbrs"]))))
+        pull = lambda n, state: F.aggregate(
+            n["nbrs"], F.lit(0.0), lambda acc, j: acc + F.get(state, j - 1))
+        # A node without neighbours has no rank: its division gives null.
+        step = lambda state: F.transform(nodes, lambda n: F.try_divide(
+            F.lit(1 - damping) + F.lit(damping) * pull(n, state), F.size(n["nbrs"])))
         return F.aggregate(F.sequence(F.lit(1), F.lit(iters)), start, lambda state, _: step(state))
 
     def ranks(nodes: Column) -> Column:
         pairs = F.zip_with(nodes, iterate(nodes), lambda n, s: F.struct(
-            n["term"].alias("term"), (n["out"] * s).alias("r")))
+            n["term"].alias("term"), (F.size(n["nbrs"]) * s).alias("r")))
         return F.filter(pairs, lambda x: x["r"].isNotNull())
 
     def scaled(found: Column) -> Column:
@@ -196,8 +193,9 @@ def textrank(docs: DataFrame, text_col: str = "sentence", window: int = 5, k: in
 
     best = let(F.col("nodes"), lambda nodes: let(ranks(nodes), scaled))
     return graph.select(
-        "article_id", "channel_id", F.explode(F.slice(F.sort_array(best), 1, k)).alias("b"),
-    ).select("article_id", "channel_id", F.col("b.term").alias("keyword"), (-F.col("b.neg")).alias("textrank"))
+        "article_id", "channel_id", F.explode_outer(F.slice(F.sort_array(best), 1, k)).alias("b"),
+    ).where(F.col("b").isNotNull()).select(
+        "article_id", "channel_id", F.col("b.term").alias("keyword"), (-F.col("b.neg")).alias("textrank"))
 
 
 def keyword_weights(ranked: DataFrame, idf: DataFrame, vocab_size: int = 20_000) -> DataFrame:

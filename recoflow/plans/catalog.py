@@ -139,7 +139,7 @@ def tfidf_top20(spark, sf):
 
 @query
 def textrank_top20(spark, sf):
-    return I.ranked(spark, sf).select("article_id", "channel_id", "keyword", _r("textrank"))
+    return I.ranked(spark, sf)
 
 
 @query

@@ -214,7 +214,7 @@ QUERIES: dict[str, str] = {
         FROM docs d LEFT JOIN tf USING (article_id) GROUP BY d.article_id""",
     "idf_table": "SELECT keyword, round(idf, 6) AS idf, idx FROM idf",
     "tfidf_top20": "SELECT article_id, channel_id, keyword, tfidf FROM tfidf",
-    "textrank_top20": "SELECT article_id, channel_id, keyword, round(textrank, 6) AS textrank FROM ranked",
+    "textrank_top20": "SELECT article_id, channel_id, keyword, textrank FROM ranked",
     "keyword_weights": "SELECT article_id, channel_id, keyword, round(weight, 5) AS weight FROM weighted",
     "article_topics": """SELECT article_id, string_agg(keyword, ',' ORDER BY keyword) AS topics
         FROM topic_terms GROUP BY article_id""",

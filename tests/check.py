@@ -41,7 +41,8 @@ def compare(spark_df, con, sql: str) -> str | None:
     if left_cols != right_cols:
         return f"columns {left_cols} != {right_cols}"
     if left != right:
-        only = [r for r in left if r not in set(right)][:3], [r for r in right if r not in set(left)][:3]
+        lefts, rights = set(left), set(right)
+        only = [r for r in left if r not in rights][:3], [r for r in right if r not in lefts][:3]
         return f"{len(left)} vs {len(right)} rows; only spark {only[0]}; only sql {only[1]}"
     return None if left else "empty result"
 
