@@ -116,20 +116,25 @@ def serve_waiting(requests: DataFrame, waiting: DataFrame, cached: DataFrame | N
     A line (user, channel) with a cache is served from it; otherwise up to
     ``cap`` waiting articles move to the cache first. ``state`` tells what
     becomes of each article: 'served' in the answer, 'cached', or still
-    'waiting'. Lines without leftovers do not appear and need a computed feed.
+    'waiting' (at its stored position). Lines without leftovers do not appear
+    and need a computed feed. The first ``cap`` rows of a line are found before
+    the shuffle; the rest of a long list is never gathered in one task.
     """
     rows = waiting.select(*LINE, "pos", "article_id", F.lit(1).alias("level"))
     if cached is not None:
         rows = rows.unionByName(cached.select(*LINE, "pos", "article_id", F.lit(0).alias("level")))
-    order = Window.partitionBy("user_id", "channel_id", "level").orderBy("pos", "article_id")
-    line = Window.partitionBy("user_id", "channel_id")
-    placed = rows.withColumn("n", F.row_number().over(order)).withColumn(
-        "source", F.min("level").over(line))
-    open_rows = (F.col("level") == F.col("source")) & ((F.col("level") == 0) | (F.col("n") <= cap))
-    state = (F.when(open_rows & (F.col("n") <= F.col("article_num")), "served")
-             .when(open_rows, "cached").otherwise("waiting"))
-    return requests.select(*REQUEST_KEY, "article_num").join(placed, LINE).select(
-        *REQUEST_KEY, F.col("n").cast("long").alias("pos"), "article_id", state.alias("state"))
+    order = Window.partitionBy(*LINE).orderBy("level", "pos", "article_id")
+    first = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= cap)
+    opened = first.withColumn("source", F.min("level").over(Window.partitionBy(*LINE))).where(
+        F.col("level") == F.col("source")).drop("source")
+    rest = rows.join(opened.drop("n"), [*LINE, "level", "pos", "article_id"], "left_anti").select(
+        *LINE, "article_id", F.col("pos").cast("long").alias("pos"),
+        F.when(F.col("level") == 0, "cached").otherwise("waiting").alias("state"))
+    asked = requests.select(*REQUEST_KEY, "article_num")
+    served = opened.join(asked, LINE).select(
+        *REQUEST_KEY, F.col("n").cast("long").alias("pos"), "article_id",
+        F.when(F.col("n") <= F.col("article_num"), "served").otherwise("cached").alias("state"))
+    return served.unionByName(rest.join(asked.drop("article_num"), LINE))
 
 
 def track_payload(feed: DataFrame) -> DataFrame:

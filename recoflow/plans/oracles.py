@@ -282,14 +282,15 @@ QUERIES: dict[str, str] = {
         FROM ranked_feed WHERE rank <= {I.ARTICLE_NUM}""",
     "wait_split": f"""SELECT user_id, channel_id, rank - {I.ARTICLE_NUM} AS pos, article_id
         FROM ranked_feed WHERE rank > {I.ARTICLE_NUM} AND rank <= 100""",
-    "serve_waiting": f"""SELECT user_id, channel_id, time_stamp, pos, article_id, CASE
-            WHEN level = source AND (level = 0 OR pos <= 3) AND pos <= {I.ARTICLE_NUM} THEN 'served'
-            WHEN level = source AND (level = 0 OR pos <= 3) THEN 'cached' ELSE 'waiting' END AS state
-        FROM (SELECT *, min(level) OVER (PARTITION BY user_id, channel_id) AS source, row_number() OVER (
-                PARTITION BY user_id, channel_id, level ORDER BY pos0, article_id) AS pos
-              FROM (SELECT user_id, channel_id, article_id AS pos0, article_id, 1 AS level FROM later
-                    UNION ALL SELECT user_id, channel_id, pos, article_id, 0 FROM served
-                    WHERE request_ts = 1705190400000))
+    "serve_waiting": f"""SELECT user_id, channel_id, time_stamp, CASE WHEN opened THEN n ELSE pos0 END AS pos, article_id,
+          CASE WHEN opened AND n <= {I.ARTICLE_NUM} THEN 'served' WHEN opened OR level = 0 THEN 'cached'
+               ELSE 'waiting' END AS state
+        FROM (SELECT *, n <= 3 AND level = min(level) OVER (PARTITION BY user_id, channel_id) AS opened
+          FROM (SELECT *, row_number() OVER (
+                  PARTITION BY user_id, channel_id ORDER BY level, pos0, article_id) AS n
+                FROM (SELECT user_id, channel_id, article_id AS pos0, article_id, 1 AS level FROM later
+                      UNION ALL SELECT user_id, channel_id, pos, article_id, 0 FROM served
+                      WHERE request_ts = 1705190400000)))
         JOIN requests USING (user_id, channel_id)""",
     "last_served": "SELECT user_id, channel_id, max(request_ts) AS last_ts FROM served GROUP BY user_id, channel_id",
     "refresh_or_history": """SELECT r.user_id, r.channel_id, coalesce(s.last_ts, 0) AS last_ts,
