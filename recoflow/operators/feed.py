@@ -18,6 +18,7 @@ from recoflow.operators.recall import recall_union
 
 REQUEST_KEY = ["user_id", "channel_id", "time_stamp"]
 LINE = ["user_id", "channel_id"]
+DAY_MS = 86_400_000
 
 
 def strategy_table(spark: SparkSession) -> DataFrame:
@@ -55,26 +56,49 @@ def history_page(requests: DataFrame, served: DataFrame) -> DataFrame:
     """(request key, articles, next_ts): the newest feed at or before the request.
 
     ``next_ts`` is the time of the feed before that, 0 at the end; without any
-    feed the page is empty. Requests and feeds are merged in one time-ordered
-    pass per user and channel, not joined pairwise. A feed has at most
-    article_num rows, so collecting a page is bounded.
+    feed the page is empty. Requests and feeds are merged in time order within
+    a user, channel and day; only the last feeds of each day are then compared
+    over days. So a line with most of the history is spread over its days, and
+    nothing is joined pairwise. A feed has at most article_num rows, so
+    collecting a page is bounded.
     """
-    pages = served.groupBy(*LINE, "request_ts").agg(
+    day = F.floor(F.col("ts") / DAY_MS).alias("day")
+    pages = served.groupBy(*LINE, F.col("request_ts").alias("ts")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "article_id"))),
                     lambda x: x["article_id"]).alias("articles"))
-    order = Window.partitionBy(*LINE).orderBy("ts")
-    page = F.struct("articles", F.coalesce(F.lag("request_ts").over(order), F.lit(0)).alias("next_ts"))
-    pages = pages.withColumn("ts", F.col("request_ts")).select(
-        *LINE, "ts", F.lit(0).alias("asks"), page.alias("page"))
+    in_day = Window.partitionBy(*LINE, "day").orderBy("ts")
+    pages = pages.select(*LINE, "ts", day, "articles").withColumn("before", F.lag("ts").over(in_day))
+    page = F.struct("ts", "before", "articles").alias("page")
+    pages = pages.select(*LINE, "day", "ts", F.lit(0).alias("asks"), page)
+
     asks = requests.select(*LINE, F.col("time_stamp").alias("ts"), F.lit(1).alias("asks"))
-    merged = pages.unionByName(asks, allowMissingColumns=True)
-    upto = Window.partitionBy(*LINE).orderBy("ts", "asks").rowsBetween(
+    merged = pages.unionByName(asks.select(*LINE, day, "ts", "asks"), allowMissingColumns=True)
+
+    # The last feed of each day with the feed before it, then that of earlier days.
+    earlier = Window.partitionBy(*LINE).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    last_before = lambda c: F.last(c, ignorenulls=True).over(earlier)
+    closing = F.when(F.col("last").isNotNull(), F.struct(
+        F.col("last.ts").alias("ts"),
+        F.coalesce("last.before", last_before("last")["ts"], F.lit(0)).alias("next"),
+        F.col("last.articles").alias("articles")))
+    days = (
+        merged.groupBy(*LINE, "day").agg(F.max("page").alias("last"))
+        .withColumn("closing", closing)
+        .select(*LINE, "day", last_before("closing").alias("earlier"))
+    )
+    upto = Window.partitionBy(*LINE, "day").orderBy("ts", "asks").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    found = merged.withColumn("page", F.last("page", ignorenulls=True).over(upto))
-    return found.where(F.col("asks") == 1).select(
+    found = (
+        merged.withColumn("same", F.last("page", ignorenulls=True).over(upto))
+        .where(F.col("asks") == 1).join(days, [*LINE, "day"])
+    )
+    today = F.col("same").isNotNull()
+    none = F.array().cast("array<bigint>")
+    return found.select(
         *LINE, F.col("ts").alias("time_stamp"),
-        F.coalesce(F.col("page.articles"), F.array().cast("array<bigint>")).alias("articles"),
-        F.coalesce(F.col("page.next_ts"), F.lit(0)).cast("long").alias("next_ts"))
+        F.coalesce(F.when(today, F.col("same.articles")).otherwise(F.col("earlier.articles")), none).alias("articles"),
+        F.coalesce(F.when(today, F.coalesce("same.before", "earlier.ts")).otherwise(F.col("earlier.next")),
+                   F.lit(0)).cast("long").alias("next_ts"))
 
 
 def exclude_served(candidates: DataFrame, served: DataFrame) -> DataFrame:

@@ -87,11 +87,12 @@ def idf_table(tokens: DataFrame, vocab_size: int = 20_000) -> DataFrame:
     frequencies = exploded.groupBy(F.col("t.term").alias("keyword")).agg(
         F.count(F.lit(1)).alias("df"), F.sum("t.tf").alias("n"))
     vocabulary = frequencies.orderBy(F.desc("n"), "keyword").limit(vocab_size)
-    documents = tokens.agg(F.count(F.lit(1)).alias("m"))
-    return vocabulary.join(documents, how="cross").select(  # one-row table
+    documents = tokens.agg(F.count(F.lit(1))).scalar()
+    by_frequency = Window.orderBy(F.desc("n"), "keyword")
+    return vocabulary.select(
         "keyword",
-        F.log((F.col("m") + 1.0) / (F.col("df") + 1.0)).alias("idf"),
-        (F.row_number().over(Window.orderBy(F.desc("n"), "keyword")) - 1).cast("long").alias("index"),
+        F.log((documents + 1.0) / (F.col("df") + 1.0)).alias("idf"),
+        (F.row_number().over(by_frequency) - 1).cast("long").alias("index"),
     )
 
 

@@ -67,9 +67,8 @@ def interests(spark, sf) -> DataFrame:
 def keyword_vectors(spark, sf) -> DataFrame:
     """A vector for each vocabulary term: the embedding numbered like the term."""
     e = A.vectors(spark, sf)
-    n = e.agg(F.count(F.lit(1)).alias("n"))
-    numbered = idf(spark, sf).join(n, how="cross").select(  # one-row table
-        "keyword", (F.col("index") % F.col("n")).alias("article_id"))
+    n = e.agg(F.count(F.lit(1))).scalar()
+    numbered = idf(spark, sf).select("keyword", (F.col("index") % n).alias("article_id"))
     return numbered.join(e, "article_id").select("keyword", "vector")
 
 

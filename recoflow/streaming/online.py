@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from recoflow.operators.recall import RECALL_KEYS, content_recall
+from recoflow.operators.recall import RECALL_KEYS, exclude_history
 from recoflow.sources import tables
 
 TRIGGER = "60 seconds"
@@ -59,26 +59,34 @@ def stream_new(arrived: DataFrame, path: str, checkpoint: str, once: bool = Fals
     return _start(arrived.writeStream.outputMode("append").foreachBatch(save), checkpoint, once)
 
 
-def stream_content_recall(clicks: DataFrame, similar: DataFrame, path: str, checkpoint: str,
-                          once: bool = False, k: int = 10) -> StreamingQuery:
-    """Append (user, channel, article) recalls of clicked, collected and shared articles.
+def content_recalls(clicks: DataFrame, similar: DataFrame, history: DataFrame | None = None,
+                    k: int = 10) -> DataFrame:
+    """Streaming (user, channel, article): similar articles of each acted-on one.
 
-    ``path`` is both the recall table and the history: a batch reads what
-    earlier batches wrote (``batch`` < its own number) and overwrites only its
-    own partition, so repeating it gives the same rows.
+    A recall is emitted once per user and channel: what the stream emitted
+    before is in its state, keyed by (user, channel, article), and ``history``
+    (a table) holds what other jobs recalled. A batch thus costs what its own
+    clicks cost, however long the history is.
     """
-    def save(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        acted = batch.where(F.col("action").isin("click", "collect", "share")).select(
-            "user_id", "channel_id", F.col("article_ids").try_cast("long").alias("article_id"))
-        history = None
-        if _exists(spark, path):
-            history = spark.read.parquet(path).where(F.col("batch") < batch_id)
-        found = content_recall(acted, similar, history, k).withColumn("batch", F.lit(batch_id))
-        (found.select(*RECALL_KEYS, "batch").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
-
-    return _start(clicks.writeStream.outputMode("append").foreachBatch(save), checkpoint, once)
+    near = similar.where(F.col("rank") <= k).select("article_id", "similar_id")
+    found = (
+        clicks.where(F.col("action").isin("click", "collect", "share"))
+        .select("user_id", "channel_id", F.col("article_ids").try_cast("long").alias("article_id"))
+        .join(near, "article_id")
+        .select("user_id", "channel_id", F.col("similar_id").alias("article_id"))
+    )
+    if history is not None:
+        found = exclude_history(found, history)
+    return found.dropDuplicates(RECALL_KEYS)
+
+
+def stream_content_recall(clicks: DataFrame, similar: DataFrame, path: str, checkpoint: str,
+                          history: DataFrame | None = None, once: bool = False,
+                          k: int = 10) -> StreamingQuery:
+    """Append content recalls to the parquet table at ``path``, each exactly once."""
+    recalls = content_recalls(clicks, similar, history, k)
+    writer = recalls.writeStream.outputMode("append").format("parquet").option("path", path)
+    return _start(writer, checkpoint, once)
 
 
 def _exists(spark, path: str) -> bool:
