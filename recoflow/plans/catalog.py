@@ -162,7 +162,8 @@ def global_topics(spark, sf):
 
 @query
 def article_profile(spark, sf):
-    profile = keywords.article_profile(I.ranked(spark, sf), I.tfidf(spark, sf), I.idf(spark, sf))
+    known = I.idf(spark, sf)
+    profile = keywords.article_profile(I.ranked(spark, sf), I.tfidf(spark, sf, known), known)
     return profile.select(
         "article_id", "channel_id",
         F.array_join(F.map_keys("keywords"), ",").alias("keywords"),
@@ -184,8 +185,7 @@ def word2vec_vocabulary(spark, sf):
 
 @query
 def article_vector_mean(spark, sf):
-    v = vectors.article_vectors(I.tfidf_profile(spark, sf), I.keyword_vectors(spark, sf))
-    return v.select("article_id", "channel_id", F.size("vector").cast("long").alias("dims"),
+    return I.text_vectors(spark, sf).select("article_id", "channel_id", F.size("vector").cast("long").alias("dims"),
                     F.round(F.get("vector", F.lit(0)), 6).alias("first"),
                     F.round(F.get("vector", F.lit(I.DIM - 1)), 6).alias("last"),
                     F.round(total(F.col("vector")), 5).alias("total"))
@@ -199,8 +199,7 @@ def similar_top10(spark, sf):
 @query
 def similar_incremental(spark, sf):
     """New article vectors (from text) against the known ones of their channel."""
-    new = vectors.article_vectors(I.tfidf_profile(spark, sf), I.keyword_vectors(spark, sf))
-    return similar.similar_articles(new, A.vectors(spark, sf), **I.LSH_NEW)
+    return similar.similar_articles(I.text_vectors(spark, sf), A.vectors(spark, sf), **I.LSH_NEW)
 
 
 @query
@@ -283,7 +282,7 @@ def recall_union(spark, sf):
 
 @query
 def user_features(spark, sf):
-    return I.user_feats(spark, sf).select(
+    return I.features(spark, sf)[0].select(
         "user_id", "channel_id", F.size("weights").cast("long").alias("n"),
         F.round(total(F.col("weights")), 5).alias("total"))
 
@@ -291,7 +290,8 @@ def user_features(spark, sf):
 @query
 def article_features(spark, sf):
     f = F.col("features")
-    return I.article_feats(spark, sf).select(
+    profile = I.tfidf_profile(spark, sf)
+    return ctr.article_features(profile, A.vectors(spark, sf)).select(
         "article_id", "channel_id", F.size(f).cast("long").alias("n"),
         F.round(f[0], 6).alias("channel"), F.round(total(F.slice(f, 2, 10)), 4).alias("weights"),
         F.round(total(F.slice(f, 12, I.DIM)), 5).alias("vector"))
@@ -367,10 +367,11 @@ def sigmoid_of_mean(features):
 
 
 def _feed(spark, sf):
+    users, articles_ = I.features(spark, sf)
     return feed.generate_feed(
         I.requests(spark, sf), I.stored_recall(spark, sf), I.arrived(spark, sf),
-        recall.hot_articles(I.hot(spark, sf)), I.served(spark, sf), I.user_feats(spark, sf),
-        I.article_feats(spark, sf), feed.strategy_table(spark), score=sigmoid_of_mean, dim=I.DIM)
+        recall.hot_articles(I.hot(spark, sf)), I.served(spark, sf), users, articles_,
+        feed.strategy_table(spark), score=sigmoid_of_mean, dim=I.DIM)
 
 
 @query

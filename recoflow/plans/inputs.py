@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoflow.operators import actions, ctr, keywords, profiles, recall, similar
+from recoflow.operators import actions, ctr, keywords, profiles, recall, similar, vectors
+from recoflow.session import materialize
 from recoflow.sources import adapters as A
 
 # Parameters of the catalogue; the SQL uses the same values.
@@ -41,37 +42,47 @@ def tokens(spark, sf) -> DataFrame:
 
 
 def idf(spark, sf) -> DataFrame:
-    return keywords.idf_table(tokens(spark, sf))
+    """The IDF table, written once: it is small but costs a pass over all text."""
+    return materialize(keywords.idf_table(tokens(spark, sf)), "idf")
 
 
-def tfidf(spark, sf) -> DataFrame:
-    return keywords.tfidf_topk(tokens(spark, sf), idf(spark, sf))
+def tfidf(spark, sf, known=None) -> DataFrame:
+    return keywords.tfidf_topk(tokens(spark, sf), idf(spark, sf) if known is None else known)
 
 
 def ranked(spark, sf) -> DataFrame:
     return keywords.textrank(A.articles(spark, sf), stopwords=A.STOPWORDS)
 
 
-def tfidf_profile(spark, sf) -> DataFrame:
-    """A profile whose weights are the TF-IDF values and whose topics are all keywords."""
-    return tfidf(spark, sf).groupBy("article_id").agg(
+def tfidf_profile(spark, sf, known=None) -> DataFrame:
+    """A profile whose weights are the TF-IDF values and whose topics are all
+    keywords; written once, since features and interests both read it."""
+    profile = tfidf(spark, sf, known).groupBy("article_id").agg(
         F.min("channel_id").alias("channel_id"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("keyword", "tfidf")))).alias("keywords"),
         F.array_sort(F.collect_set("keyword")).alias("topics"))
+    return materialize(profile, "profile")
 
 
-def interests(spark, sf) -> DataFrame:
-    return profiles.user_interests(folded(spark, sf), tfidf_profile(spark, sf), now(), READ_THRESHOLD)
+def interests(spark, sf, profile=None) -> DataFrame:
+    profile = tfidf_profile(spark, sf) if profile is None else profile
+    return profiles.user_interests(folded(spark, sf), profile, now(), READ_THRESHOLD)
 
 
-def keyword_vectors(spark, sf) -> DataFrame:
+def keyword_vectors(spark, sf, known) -> DataFrame:
     """A vector for each vocabulary term: the embedding numbered like the term."""
     e = A.vectors(spark, sf)
     n = e.agg(F.count(F.lit(1))).scalar()
-    numbered = idf(spark, sf).select("keyword", (F.col("index") % n).alias("article_id"))
+    numbered = known.select("keyword", (F.col("index") % n).alias("article_id"))
     return numbered.join(e, "article_id").select("keyword", "vector")
 
 
+def text_vectors(spark, sf) -> DataFrame:
+    """Article vectors from the profile and the keyword vectors."""
+    known = idf(spark, sf)
+    return vectors.article_vectors(tfidf_profile(spark, sf, known), keyword_vectors(spark, sf, known))
+
+
 def similar_table(spark, sf) -> DataFrame:
     return similar.similar_articles(A.vectors(spark, sf), **LSH)
 
@@ -124,17 +135,16 @@ def requests(spark, sf) -> DataFrame:
         F.lit(REQUEST_MS).cast("long").alias("time_stamp"))
 
 
-def user_feats(spark, sf) -> DataFrame:
-    return ctr.user_features(interests(spark, sf))
-
-
-def article_feats(spark, sf) -> DataFrame:
-    return ctr.article_features(tfidf_profile(spark, sf), A.vectors(spark, sf))
+def features(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(user features, article features), both from one profile."""
+    profile = tfidf_profile(spark, sf)
+    return (materialize(ctr.user_features(interests(spark, sf, profile)), "users"),
+            ctr.article_features(profile, A.vectors(spark, sf)))
 
 
 def samples(spark, sf, strict: bool = False) -> DataFrame:
-    return ctr.ctr_samples(folded(spark, sf), user_feats(spark, sf), article_feats(spark, sf),
-                           dims=DIM + 21, strict=strict)
+    users, articles = features(spark, sf)
+    return ctr.ctr_samples(folded(spark, sf), users, articles, dims=DIM + 21, strict=strict)
 
 
 def label_scores(spark, sf) -> DataFrame:
