@@ -8,6 +8,8 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recoflow.session import materialize
+
 INDEX_BUCKETS = 4096
 CHANNEL_SALTS = 32
 RECALL_KEYS = ["user_id", "channel_id", "article_id"]
@@ -40,8 +42,9 @@ def als_recall(interactions: DataFrame, k: int = 100, users: DataFrame | None =
     as 0/1. Ids of any size are numbered densely first. Scoring is users x
     articles inside the model, so pass the active ``users`` on large data.
     """
-    user_ids = dense_index(interactions, "user_id").withColumnRenamed("idx", "u")
-    article_ids = dense_index(interactions, "article_id").withColumnRenamed("idx", "a")
+    # Read before and after the fit, so written once.
+    user_ids = materialize(dense_index(interactions, "user_id").withColumnRenamed("idx", "u"), "users")
+    article_ids = materialize(dense_index(interactions, "article_id").withColumnRenamed("idx", "a"), "articles")
     ratings = (
         interactions.join(user_ids, "user_id").join(article_ids, "article_id")
         .select(F.col("u").cast("int"), F.col("a").cast("int"),

@@ -100,3 +100,22 @@ def test_rank_candidates(spark, tables, rows):
     assert out == [(1, 1, 1, 7.0), (1, 2, 2, 5.0),  # article 50 has no features: zeros, capped
                    (2, 1, 2, None), (2, 2, 4, None), (2, 3, 60, None),  # no user features: id order, no cap
                    (3, 1, 1, None), (3, 2, 2, None)]
+
+
+def test_rank_by_fitted_model(spark, rows):
+    """The click model sees serving features in its training order."""
+    rng = random.Random(7)
+    data = []
+    for i in range(300):
+        f = [1.0, rng.gauss(0, 1), rng.gauss(0, 1)] + [0.5] + [0.0] * 9 + [0.1] * 10
+        data.append((i, i, f, int(f[2] > 0)))  # the second vector entry decides
+    model = ctr.train_ctr(spark.createDataFrame(
+        data, "user_id long, article_id long, features array<double>, clicked int"), regParam=0.01)
+    users = spark.createDataFrame([(1, 3, [0.5])], "user_id long, channel_id int, weights array<double>")
+    articles = spark.createDataFrame(
+        [(a, [1.0] + [0.1] * 10 + v) for a, v in ((1, [9.0, -2.0]), (2, [-9.0, 2.0]), (3, [0.0, 0.5]))],
+        "article_id long, features array<double>")
+    cands = candidates(spark, [(1, 3, 9, a) for a in (1, 2, 3)])
+    out = ctr.rank_candidates(cands, users, articles, model=model, dim=2)
+    assert rows(out.select("rank", "article_id")) == [(1, 2), (2, 3), (3, 1)]
+    assert out.where("score between 0 and 1").count() == 3

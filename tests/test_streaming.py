@@ -99,3 +99,16 @@ def test_content_recall_remembers_earlier_batches(spark, rows, tmp_path, inbox):
     run()
     # 11 was emitted to user 1 before
     assert rows(spark.read.parquet(path)) == first + [(1, 18, 40), (2, 18, 11), (2, 18, 40)]
+
+
+def test_two_queries_read_one_source(spark, rows, tmp_path, inbox):
+    put, stream = inbox
+    similar = spark.createDataFrame([(5, 6, 0.1, 1)], "article_id long, similar_id long, distance double, rank int")
+    put("a", [line("click", "1", "5"), line("click", "2", "5"), line("read", "2", "5")])
+    clicks, at = streams.click_stream(stream()), lambda name: str(tmp_path / name)
+    both = [online.stream_hot(clicks, at("hot"), at("c1"), once=True, buckets=2),
+            online.stream_content_recall(clicks, similar, at("recall"), at("c2"), once=True)]
+    for q in both:
+        q.awaitTermination()
+    assert rows(tables.read_store(spark, at("hot")).select("article_id", "score")) == [(5, 2)]
+    assert rows(spark.read.parquet(at("recall"))) == [(1, 18, 6), (2, 18, 6)]
