@@ -14,7 +14,7 @@ import time
 from recoflow.plans.catalog import QUERIES
 from recoflow.session import local_session
 
-HEADLINES = [
+BENCH_QUERIES = [
     "user_article_basic", "interest_top10", "profile_basics", "window_merge", "strip_html",
     "idf_table", "tfidf_top20", "textrank_top20", "article_profile", "article_vector_mean",
     "similar_top10", "content_recall", "history_anti", "hot_top10", "hot_parts", "recall_union",
@@ -29,7 +29,7 @@ def main() -> None:
     spark = local_session(cores=cpus, partitions=cpus)
     spark.read.parquet(f"{sf_dir}/events.parquet").write.format("noop").mode("overwrite").save()
     seconds = {}
-    for name in sys.argv[1:] or HEADLINES:
+    for name in sys.argv[1:] or BENCH_QUERIES:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)

@@ -203,7 +203,7 @@ QUERIES: dict[str, str] = {
     "window_merge": """SELECT o_orderkey AS article_id, c_nationkey AS channel_id, n_name AS channel_name,
         concat_ws(',', n_name, o_orderpriority, '<p>' || o_orderkey || '</p>') AS sentence
         FROM orders JOIN customer ON o_custkey = c_custkey
-        LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey < 20
+        LEFT JOIN nation ON n_nationkey = c_nationkey
         WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1997-01-01' AND o_orderstatus = 'F'""",
     "strip_html": """SELECT page_id, length(t) AS n_chars, md5(t) AS digest FROM (
         SELECT page_id, regexp_replace(html, '<.*?>', '', 'g') AS t FROM pages)""",
