@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -41,16 +43,24 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
     return spark
 
 
+_local_scratch: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path for intermediate tables.
+    """A fresh path for intermediate tables, in the folder that ``spark.checkpoint.dir`` names.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; a local
-    temporary folder is used only where that is unset, as in tests.
+    Without that setting a single-machine session gets one temporary folder,
+    removed at exit; on a cluster it is an error, since executors would write to
+    their own disks.
     """
     base = spark.conf.get("spark.checkpoint.dir", "")
     if not base:
-        base = tempfile.mkdtemp(prefix="recoflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not _local_scratch:
+            _local_scratch.append(tempfile.mkdtemp(prefix="recoflow-"))
+            atexit.register(shutil.rmtree, _local_scratch[0], ignore_errors=True)
+        base = _local_scratch[0]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
