@@ -2,11 +2,33 @@
 
 from __future__ import annotations
 
-from recoflow.llm import decontaminate
+import functools
+import os
+from collections.abc import Callable
 
-QUERIES = {
+from pyspark.sql import DataFrame
+
+from recoflow.llm import decontaminate, packing, toxicity
+
+_HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``query`` with this package on the path of Python workers, where no submit option put it there."""
+    @functools.wraps(query)
+    def run(spark, *args):
+        paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if _HOME not in paths:
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), _HOME])
+        return query(spark, *args)
+    return run
+
+
+QUERIES = {name: importable(query) for name, query in {
     "op3_suffix_decontamination": decontaminate.op3_suffix_decontamination,
-}
+    "op4_ftrl_toxicity": toxicity.op4_ftrl_toxicity,
+    "op5_best_fit_packing": packing.op5_best_fit_packing,
+}.items()}
 SQL = {
     "op3_suffix_decontamination": decontaminate.OP3_SQL,
 }

@@ -66,12 +66,13 @@ def spans(data: np.ndarray, at: np.ndarray, table: np.ndarray) -> tuple[np.ndarr
     return begins + low, np.flatnonzero(end) + 1 + low, np.searchsorted(begins, rows)
 
 
-def hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, A-Z as a-z: its 8-byte pieces folded one after the other."""
+def hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """A 64-bit hash of each word, A-Z as a-z if ``lower``: its 8-byte pieces folded one after the other."""
     if not len(begins):
         return np.zeros(0, np.uint64)
     low = int(begins[0])
-    text = np.concatenate([_LOWER[data[low:int(ends[-1])]], np.zeros(8, np.uint8)])
+    text = data[low:int(ends[-1])]
+    text = np.concatenate([_LOWER[text] if lower else text, np.zeros(8, np.uint8)])
     pieces = np.ndarray(len(text) - 7, "<u8", text, strides=(1,))
     at, left = begins - low, ends - begins
     got = _piece(pieces, at, left) * _BASE
