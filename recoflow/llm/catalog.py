@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from recoflow.llm import decontaminate, packing, toxicity
+from recoflow.llm import decontaminate, jaccard_join, packing, toxicity
 
 _HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -28,7 +28,9 @@ QUERIES = {name: importable(query) for name, query in {
     "op3_suffix_decontamination": decontaminate.op3_suffix_decontamination,
     "op4_ftrl_toxicity": toxicity.op4_ftrl_toxicity,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op8_divide_skip_join": jaccard_join.op8_divide_skip_join,
 }.items()}
 SQL = {
     "op3_suffix_decontamination": decontaminate.OP3_SQL,
+    "op8_divide_skip_join": jaccard_join.OP8_SQL,
 }
