@@ -198,74 +198,81 @@ def _reaches(order: Order, a: np.ndarray, b: np.ndarray) -> bool:
     return found >= need
 
 
-def _texts(docs: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
-    """``pairs`` (a, b) with both texts; only documents that occur in a pair are moved."""
-    ids = materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), label)
-    some, _ = split_by_ids(docs, "doc_id", ids)
-    some = materialize(some, label)
-    return (pairs.join(some.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a")
-            .join(some.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b"))
+def _similar(texts: DataFrame, pairs: DataFrame, shipped) -> DataFrame:
+    """Of ``pairs`` (a, b) those whose ``texts`` (doc_id, text) are similar."""
+    both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a")
+            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b"))
+    return materialize(both.select("a", "a_text", "b", "b_text")
+                       .mapInArrow(_probe(shipped), "a long, b long").distinct(), "links")
 
 
-def _similar(docs: DataFrame, pairs: DataFrame, shipped, label: str) -> DataFrame:
-    return materialize(_texts(docs, pairs, label).select("a", "a_text", "b", "b_text")
-                       .mapInArrow(_probe(shipped), "a long, b long").distinct(), label)
+def frequent(counts: DataFrame):
+    """A broadcast ``Order`` from ``counts`` (token, times): of the lists of 8 documents or more, the longest.
 
-
-_SURROGATE = 1 << 62
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
-    docs = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"),
-                   F.lit(_SURROGATE) + F.xxhash64("text").bitwiseAND(F.lit(_SURROGATE - 1))).alias("doc_id"), "text")
-    profile = materialize(docs.mapInArrow(_profile, "doc_id long, key binary, n long, token long, times long"), "profile")
-    rows = profile.filter("key IS NOT NULL").select("doc_id", "key", "n")
-    classes = materialize(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("vid")), "classes")
-
-    often = profile.filter("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times"))
-    often = materialize(often.filter(F.col("times") >= 8), "often")
+    Whole powers of two are taken, as many as fit into ``FREQUENT`` entries.
+    """
+    often = materialize(counts.groupBy("token").agg(F.sum("times").alias("times")).filter(F.col("times") >= 8), "often")
     sizes = dict(often.groupBy(F.floor(F.log2("times")).alias("k")).count().collect())
     low = min((k for k in sizes if sum(n for j, n in sizes.items() if j >= k) <= FREQUENT), default=62)
     table = often.filter(F.col("times") >= F.lit(1 << low)).toPandas()
-    shipped = spark.sparkContext.broadcast(Order(table["token"].to_numpy(np.int64), table["times"].to_numpy(np.int64)))
+    order = Order(table["token"].to_numpy(np.int64), table["times"].to_numpy(np.int64))
+    return counts.sparkSession.sparkContext.broadcast(order)
 
-    # one document of each class has postings
-    others = rows.join(classes, "key").filter("doc_id <> vid").select("doc_id").distinct()
-    others = materialize(others.join(classes.select(F.col("vid").alias("doc_id")), "doc_id", "left_anti"), "copies")
-    maybe, single = split_by_ids(docs, "doc_id", others)
-    single = single.unionByName(maybe.join(others, "doc_id", "left_anti"))
-    postings = single.mapInArrow(_postings(shipped, _needed), "token long, salt int, doc_id long, n int, pos int")
+
+def linked(postings: DataFrame, texts: DataFrame, shipped) -> DataFrame:
+    """(node, component) of the linked texts, from their short lists."""
     lists = materialize(postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "n", "doc_id")
                         .mapInArrow(_shared, _LISTS), "lists")
+    ids = materialize(lists.select("doc_id").distinct(), "candidates")
+    some, _ = split_by_ids(texts, "doc_id", ids)
+    some = materialize(some.join(ids, "doc_id").dropDuplicates(["doc_id", "text"]), "texts")
 
-    # first round: of the entries right before it in its lists, the one a document meets most often
-    near = lists.filter(F.col("before").isNotNull() & (F.col("before") != F.col("doc_id")) & _may_reach("before_n", "before_pos", "n", "pos"))
+    # first round: of the entries right before it in its lists, the one a text meets most often
+    near = lists.filter(F.col("before").isNotNull() & (F.col("before") != F.col("doc_id"))
+                        & _may_reach("before_n", "before_pos", "n", "pos"))
     first = (near.groupBy("doc_id", "before").agg(F.count("*").alias("c"))
              .groupBy("doc_id").agg(F.max_by("before", F.struct("c", "before")).alias("a"))
              .select("a", F.col("doc_id").alias("b")))
-    links = _similar(docs, materialize(first, "first"), shipped, "links")
-    joined = materialize(components(links), "joined")
+    joined = materialize(components(_similar(some, first, shipped)), "joined")
 
     # second round: whatever is left in one list but not in one component
     at = lists.select("token", "doc_id", "n", "pos").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     at = materialize(at.withColumn("component", F.coalesce("component", "doc_id")), "placed")
-    open_lists = at.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    at = at.join(open_lists.select("token"), "token")
+    mixed = at.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    at = at.join(mixed.select("token"), "token")
     x, y = at.alias("x"), at.alias("y")
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
                    & (F.struct("x.n", "x.doc_id") < F.struct("y.n", "y.doc_id"))
                    & _may_reach("x.n", "x.pos", "y.n", "y.pos"))
     pairs = materialize(pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(), "second")
-    more = _similar(docs, pairs, shipped, "links")
+    more = _similar(some, pairs, shipped)
     if more.isEmpty():
-        final = joined
-    else:
-        final = materialize(components(more.unionByName(
-            joined.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b"))), "joined")
+        return joined
+    known = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b")
+    return materialize(components(more.unionByName(known)), "joined")
 
+
+_SURROGATE = 1 << 62
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
+    docs = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"),
+                   F.lit(_SURROGATE) + F.xxhash64("text").bitwiseAND(F.lit(_SURROGATE - 1))).alias("doc_id"), "text")
+    profile = materialize(docs.mapInArrow(_profile, "doc_id long, key binary, n long, token long, times long"), "profile")
+    rows = profile.filter("key IS NOT NULL").select("doc_id", "key", "n")
+    classes = materialize(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("vid")), "classes")
+
+    shipped = frequent(profile.filter("token IS NOT NULL").select("token", "times"))
+
+    # one document of each class has postings
+    others = rows.join(classes, "key").filter("doc_id <> vid").select("doc_id").distinct()
+    others = materialize(others.join(classes.select(F.col("vid").alias("doc_id")), "doc_id", "left_anti"), "copies")
+    maybe, single = split_by_ids(docs, "doc_id", others)
+    single = single.unionByName(maybe.join(others, "doc_id", "left_anti"))
+    postings = single.mapInArrow(_postings(shipped, _needed), "token long, salt int, doc_id long, n int, pos int")
+    final = linked(postings, docs, shipped)
     out = rows.join(classes, "key", "left").join(final.withColumnRenamed("node", "vid"), "vid", "left")
     component = F.coalesce("component", "vid", "doc_id")
     real = lambda c: F.when(c < _SURROGATE, c)
