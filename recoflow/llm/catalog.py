@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from recoflow.llm import decontaminate, jaccard_join, line_dedup, packing, quality, sharding, toxicity
+from recoflow.llm import decontaminate, jaccard_join, line_dedup, packing, quality, sharding, toxicity, warc
 
 _HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -26,6 +26,7 @@ def importable(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
 QUERIES = {name: importable(query) for name, query in {
     "op1_label_propagation": sharding.op1_label_propagation,
+    "op2_dictionary_warc": warc.op2_dictionary_warc,
     "op3_suffix_decontamination": decontaminate.op3_suffix_decontamination,
     "op4_ftrl_toxicity": toxicity.op4_ftrl_toxicity,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
