@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from recoflow.llm import decontaminate, jaccard_join, line_dedup, packing, quality, sharding, toxicity, warc
+from recoflow.llm import decontaminate, jaccard_join, line_dedup, packing, preferences, quality, sharding, surrogates, toxicity, warc
 
 _HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -30,12 +30,15 @@ QUERIES = {name: importable(query) for name, query in {
     "op3_suffix_decontamination": decontaminate.op3_suffix_decontamination,
     "op4_ftrl_toxicity": toxicity.op4_ftrl_toxicity,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op6_preference_pairs": preferences.op6_preference_pairs,
     "op7_line_frequency": quality.op7_line_frequency,
     "op8_divide_skip_join": jaccard_join.op8_divide_skip_join,
     "op9_line_set_join": line_dedup.op9_line_set_join,
+    "op10_surrogates": surrogates.op10_surrogates,
 }.items()}
 SQL = {
     "op3_suffix_decontamination": decontaminate.OP3_SQL,
+    "op6_preference_pairs": preferences.OP6_SQL,
     "op7_line_frequency": quality.OP7_SQL,
     "op8_divide_skip_join": jaccard_join.OP8_SQL,
     "op9_line_set_join": line_dedup.OP9_SQL,
