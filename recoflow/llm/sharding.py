@@ -26,10 +26,9 @@ from recoflow.session import materialize
 
 SHARDS = 16
 ROUNDS = 2
-SLACK = 0.1      # share of a shard's quota that a round may let in beyond it
 
 
-def propagate(rows: DataFrame, members: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK) -> DataFrame:
+def propagate(rows: DataFrame, members: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """(row, shard) of each of ``rows`` (row: a unique long), linked by ``members`` (row, key)."""
     state = rows.select("row", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"))
     # a key of one document links nothing
@@ -37,7 +36,7 @@ def propagate(rows: DataFrame, members: DataFrame, shards: int = SHARDS, rounds:
     members = materialize(members.join(shared, "key"), "members")
     total = rows.count()
     for _ in range(rounds):
-        state = materialize(_quotas(_move(state, members, shards, total, slack), members, shards, total), "shards")
+        state = materialize(_quotas(_move(state, members, shards, total), members, shards, total), "shards")
     return state
 
 
@@ -48,17 +47,17 @@ def _histograms(state: DataFrame, members: DataFrame) -> DataFrame:
                                 F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("here")))
 
 
-def _move(state: DataFrame, members: DataFrame, shards: int, total: int, slack: float) -> DataFrame:
-    """One round of requests; shards may grow to their quota and ``slack`` of it."""
+def _move(state: DataFrame, members: DataFrame, shards: int, total: int) -> DataFrame:
+    """One round of requests; shards let in linked rows up to their quota."""
     votes = (members.select("row", "key").join(_histograms(state, members), "key")
              .groupBy("row", F.col("best").alias("want")).agg(F.sum("most").alias("votes"))
              .groupBy("row").agg(F.max_by("want", F.struct("votes", F.xxhash64("row", "want"))).alias("want"), F.max("votes").alias("votes")))
     asks = votes.join(state, "row").filter("want <> shard").select("row", "want", "votes")
-    counts = {r.shard: r.n for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-    leaves = state.join(asks.select("row"), "row").groupBy("shard").agg(F.count("*").alias("n"))
-    leaves = {r.shard: r.n for r in leaves.collect()}
-    limit = int(total / shards * (1 + slack)) + 1
-    room = [max(0, limit - counts.get(s, 0) + leaves.get(s, 0)) for s in range(shards)]
+    # rows without links give way later, so they take no room; rows that ask to leave neither
+    stay = (state.join(members.select("row").distinct(), "row").join(asks.select("row"), "row", "left_anti")
+            .groupBy("shard").agg(F.count("*").alias("n")))
+    stay = {r.shard: r.n for r in stay.collect()}
+    room = [max(0, total // shards - stay.get(s, 0)) for s in range(shards)]
     ranked = rank_within(asks, ["want"], [F.col("votes").desc(), F.xxhash64("row"), F.col("row")], "_rank", "asks")
     allowed = ranked.filter(F.col("_rank") < F.get(F.array(*[F.lit(r) for r in room]), F.col("want")))
     return state.join(allowed.select("row", "want"), "row", "left").select("row", F.coalesce("want", "shard").alias("shard"))
