@@ -126,13 +126,13 @@ def load_model(path: str) -> LogisticRegressionModel:
 
 def rank_candidates(candidates: DataFrame, users: DataFrame, articles: DataFrame,
                     model=None, score: Callable[[Column], Column] | None = None,
-                    cap: int = 100, dim: int = 100, k: int = WEIGHTS) -> DataFrame:
+                    cap: int | None = None, dim: int = 100, k: int = WEIGHTS) -> DataFrame:
     """Add ``score`` and ``rank`` to (user_id, channel_id, time_stamp, article_id).
 
-    Rank by predicted click probability, best first, ties by id, at most
-    ``cap`` per request. Articles without features count as all zeros. Users
-    without features in the channel are not scored: their candidates keep id
-    order and are not capped. ``score`` may replace the model by an expression
+    Rank by predicted click probability, best first, ties by id; ``cap`` limits
+    a request's candidates if given. Articles without features count as all
+    zeros. Users without features in the channel are not scored: their
+    candidates keep id order. ``score`` may replace the model by an expression
     over the feature array.
     """
     empty = F.array_repeat(F.lit(0.0), 1 + k + dim)
@@ -149,9 +149,9 @@ def rank_candidates(candidates: DataFrame, users: DataFrame, articles: DataFrame
         rows = rows.withColumn("score", score(F.col("features")))
     order = Window.partitionBy("user_id", "channel_id", "time_stamp").orderBy(
         F.desc_nulls_last("score"), "article_id")
-    return (
+    ranked = (
         rows.withColumn("score", F.when(F.col("known"), F.col("score")))
         .drop("features", "weights", "known")
         .withColumn("rank", F.row_number().over(order).cast("long"))
-        .where((F.col("rank") <= cap) | F.col("score").isNull())
     )
+    return ranked if cap is None else ranked.where(F.col("rank") <= cap)

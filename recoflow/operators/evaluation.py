@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recoflow.session import materialize
+
 
 def auc_accuracy(scores: DataFrame, cutoff: float = 0.5) -> DataFrame:
     """One row (auc, accuracy, n) from (score, label 0/1).
@@ -37,19 +39,23 @@ def auc_accuracy(scores: DataFrame, cutoff: float = 0.5) -> DataFrame:
         F.sum(F.col("pos") + F.col("neg")).cast("long").alias("n"))
 
 
-def roc_curve(scores: DataFrame, bins: int = 1000) -> DataFrame:
-    """(threshold, fpr, tpr) at the lower edges of ``bins`` equal score bins of [0, 1].
+def roc_curve(scores: DataFrame) -> DataFrame:
+    """(threshold, fpr, tpr) at every distinct score.
 
-    Rates count rows scoring at least the threshold. Only the bins, not the
-    rows, are accumulated in one task.
+    Rates count rows scoring at least the threshold. Scores are combined first,
+    then ranges of scores are summed in parallel and shifted by what lies above.
     """
-    binned = scores.groupBy(
-        F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int").alias("bin"),
-    ).agg(F.sum(F.col("label").cast("double")).alias("pos"),
-          F.sum(1.0 - F.col("label").cast("double")).alias("neg"))
-    above = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    values = scores.groupBy("score").agg(F.sum(F.col("label").cast("double")).alias("pos"),
+                                         F.sum(1.0 - F.col("label").cast("double")).alias("neg"))
+    ranged = materialize(values.repartitionByRange(F.desc("score")).withColumn("part", F.spark_partition_id()), "roc")
+    parts = ranged.groupBy("part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
-    return binned.select(
-        (F.col("bin") / bins).alias("threshold"),
-        F.try_divide(F.sum("neg").over(above), F.sum("neg").over(every)).alias("fpr"),
-        F.try_divide(F.sum("pos").over(above), F.sum("pos").over(every)).alias("tpr"))
+    parts = parts.select("part", F.coalesce(F.sum("p").over(before), F.lit(0.0)).alias("p0"),
+                         F.coalesce(F.sum("n").over(before), F.lit(0.0)).alias("n0"),
+                         F.sum("p").over(every).alias("p"), F.sum("n").over(every).alias("n"))
+    upto = Window.partitionBy("part").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.join(F.broadcast(parts), "part").select(  # one row per range
+        F.col("score").alias("threshold"),
+        F.try_divide(F.sum("neg").over(upto) + F.col("n0"), F.col("n")).alias("fpr"),
+        F.try_divide(F.sum("pos").over(upto) + F.col("p0"), F.col("p")).alias("tpr"))

@@ -2,13 +2,12 @@
 
 Scale notes
 -----------
-* Term counts of a document are computed inside its row, so the term table
-  needs no shuffle; only document frequencies (combined before the shuffle)
-  and the top-k rows of each article move.
-* The IDF table has at most ``vocab_size`` rows. Up to ``BROADCAST_TERMS`` it
-  is broadcast; a larger vocabulary uses an ordinary join.
-* The graph ranking hashes articles by id once; building the graph and all
-  iterations then run inside those partitions without another shuffle.
+* Term counts of a document are computed inside its row; document frequencies
+  are combined before the shuffle.
+* The IDF table holds every term. How it is joined is left to the planner,
+  which knows its size.
+* The graph of an article and all rank iterations are array expressions in its
+  row: nothing is shuffled before the ranked terms.
 """
 
 from __future__ import annotations
@@ -19,8 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recoflow.functions import text as tx
-
-BROADCAST_TERMS = 200_000
+from recoflow.operators.recall import range_rank
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -77,40 +75,34 @@ def term_rows(tokens: DataFrame) -> DataFrame:
             .where(F.col("t").isNotNull()))
 
 
-def idf_table(tokens: DataFrame, vocab_size: int = 20_000) -> DataFrame:
-    """(keyword, idf, index): the ``vocab_size`` most frequent terms of the corpus.
+def idf_table(tokens: DataFrame, vocab_size: int | None = None) -> DataFrame:
+    """(keyword, idf, index): every term of the corpus, or the ``vocab_size`` most frequent if asked for.
 
     idf = ln((m + 1) / (df + 1)) over m documents; the index is the frequency
-    rank, ties by term. Ranking happens on at most ``vocab_size`` rows.
+    rank, ties by term, counted in ranges of terms.
     """
     exploded = term_rows(tokens).select("t")
     frequencies = exploded.groupBy(F.col("t.term").alias("keyword")).agg(
         F.count(F.lit(1)).alias("df"), F.sum("t.tf").alias("n"))
-    vocabulary = frequencies.orderBy(F.desc("n"), "keyword").limit(vocab_size)
+    if vocab_size is not None:
+        frequencies = frequencies.orderBy(F.desc("n"), "keyword").limit(vocab_size)
     documents = tokens.agg(F.count(F.lit(1))).scalar()
-    by_frequency = Window.orderBy(F.desc("n"), "keyword")
-    return vocabulary.select(
-        "keyword",
-        F.log((documents + 1.0) / (F.col("df") + 1.0)).alias("idf"),
-        (F.row_number().over(by_frequency) - 1).cast("long").alias("index"),
-    )
+    idf = frequencies.select("keyword", "n", F.log((documents + 1.0) / (F.col("df") + 1.0)).alias("idf"))
+    return range_rank(idf, [F.desc("n"), F.col("keyword")], "index").select("keyword", "idf", "index")
 
 
-def _join_idf(df: DataFrame, idf: DataFrame, vocab_size: int) -> DataFrame:
-    right = idf.select("keyword", "idf")
-    return df.join(F.broadcast(right) if vocab_size <= BROADCAST_TERMS else right, "keyword")
+def _join_idf(df: DataFrame, idf: DataFrame) -> DataFrame:
+    return df.join(idf.select("keyword", "idf"), "keyword")
 
 
-def tfidf_topk(tokens: DataFrame, idf: DataFrame, k: int = 20,
-               vocab_size: int = 20_000) -> DataFrame:
+def tfidf_topk(tokens: DataFrame, idf: DataFrame, k: int = 20) -> DataFrame:
     """(article_id, channel_id, keyword, tfidf): the k best terms of each article.
 
-    Values are rounded to 4 places; ties go to the smaller term. ``vocab_size``
-    is the size bound of ``idf`` and decides how it is joined.
+    Values are rounded to 4 places; ties go to the smaller term.
     """
     scored = _join_idf(
         term_rows(tokens).select("article_id", "channel_id", F.col("t.term").alias("keyword"), "t.tf"),
-        idf, vocab_size,
+        idf,
     ).select("article_id", "channel_id", "keyword",
              F.round(F.col("tf") * F.col("idf"), 4).alias("tfidf"))
     best = Window.partitionBy("article_id").orderBy(F.desc("tfidf"), "keyword")
@@ -129,32 +121,31 @@ def word_graph(docs: DataFrame, text_col: str = "sentence", window: int = 5, min
     the numbers of its neighbours, one entry per common occurrence.
     """
     split = tokenizer(F.col(text_col)) if tokenizer else tx.split_words(F.col(text_col))
-    # A fixed partition count: text expands far beyond its shuffled bytes, so
-    # the partitions must not be merged by size.
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = (
-        docs.select("article_id", "channel_id", text_col)
-        .repartition(partitions, "article_id")
-        .select("article_id", "channel_id", F.posexplode_outer(split).alias("pos", "word"))
-        .withColumn("term", F.when(tx.is_keyword(F.col("word"), min_len, stopwords), F.col("word")))
-    )
-    by_term = Window.partitionBy("article_id").orderBy(F.asc_nulls_last("term"))
-    by_pos = Window.partitionBy("article_id").orderBy("pos")
-    numbered = words.select(
-        "article_id", "channel_id", "pos", "term",
-        F.when(F.col("term").isNotNull(), F.dense_rank().over(by_term)).alias("i"))
-    # A word's neighbours lie before and after it, so every pair is seen from
-    # both sides and each occurrence adds one unit of weight to each.
-    around = [F.lag("i", d).over(by_pos) for d in range(1, window)] + [
-        F.lead("i", d).over(by_pos) for d in range(1, window)]
-    occurrences = numbered.select(
-        "article_id", "channel_id", "term", "i", F.array(*around).alias("near"),
-    ).where(F.col("i").isNotNull())
-    nodes = occurrences.groupBy("article_id", "channel_id", "i").agg(
-        F.max("term").alias("term"),
-        F.flatten(F.collect_list(F.array_compact("near"))).alias("nbrs"))
-    return nodes.groupBy("article_id", "channel_id").agg(
-        F.sort_array(F.collect_list(F.struct("i", "term", "nbrs"))).alias("nodes"))
+    # Words that are no candidates keep their place under the empty term.
+    entries = F.array_sort(F.transform(split, lambda w, p: F.struct(
+        F.when(tx.is_keyword(w, min_len, stopwords), w).otherwise("").alias("t"), p.alias("p"))))
+
+    def graph(e: Column) -> Column:
+        first = F.transform(e, lambda x, k: F.when((k == 0) | (x["t"] != F.get(e, k - 1)["t"]), k))
+        base = F.when(F.get(e, F.lit(0))["t"] == "", 0).otherwise(1)
+
+        def numbered(starts: Column) -> Column:
+            run = lambda k, j: F.slice(e, k + 1, F.coalesce(F.get(starts, j + 1), F.size(e)) - k)
+            number = F.transform(F.array_sort(F.flatten(F.transform(starts, lambda k, j: F.transform(
+                run(k, j), lambda x: F.struct(x["p"].alias("p"), (j + base).alias("i")))))), lambda x: x["i"])
+
+            def nodes(at: Column) -> Column:
+                around = [d for d in range(1 - window, window) if d]
+                near = lambda p: F.filter(F.array(*[F.get(at, p + d) for d in around]), lambda i: i > 0)
+                return F.filter(F.transform(starts, lambda k, j: F.struct(
+                    (j + base).alias("i"), F.get(e, k)["t"].alias("term"),
+                    F.flatten(F.transform(run(k, j), lambda x: near(x["p"]))).alias("nbrs"))), lambda n: n["i"] > 0)
+
+            return let(number, nodes)
+
+        return let(F.filter(first, lambda k: k.isNotNull()), numbered)
+
+    return docs.select("article_id", "channel_id", let(entries, graph).alias("nodes"))
 
 
 def textrank(docs: DataFrame, text_col: str = "sentence", window: int = 5, k: int = 20,
@@ -199,9 +190,9 @@ def textrank(docs: DataFrame, text_col: str = "sentence", window: int = 5, k: in
         "article_id", "channel_id", F.col("b.term").alias("keyword"), (-F.col("b.neg")).alias("textrank"))
 
 
-def keyword_weights(ranked: DataFrame, idf: DataFrame, vocab_size: int = 20_000) -> DataFrame:
+def keyword_weights(ranked: DataFrame, idf: DataFrame) -> DataFrame:
     """(article_id, channel_id, keyword, weight = textrank * idf); unknown terms drop out."""
-    return _join_idf(ranked, idf, vocab_size).select(
+    return _join_idf(ranked, idf).select(
         "article_id", "channel_id", "keyword", (F.col("textrank") * F.col("idf")).alias("weight"))
 
 
@@ -222,7 +213,7 @@ def topics(tfidf: DataFrame, ranked: DataFrame, global_topics: bool = False) ->
 
 
 def article_profile(ranked: DataFrame, tfidf: DataFrame, idf: DataFrame,
-                    global_topics: bool = False, vocab_size: int = 20_000) -> DataFrame:
+                    global_topics: bool = False) -> DataFrame:
     """(article_id, channel_id, keywords map<term, weight>, topics array<term>).
 
     One grouping builds both: each ranked term carries its weight if its idf is
@@ -230,7 +221,7 @@ def article_profile(ranked: DataFrame, tfidf: DataFrame, idf: DataFrame,
     """
     if global_topics:
         chosen = topics(tfidf, ranked, global_topics=True)
-        weights = keyword_weights(ranked, idf, vocab_size).groupBy("article_id", "keyword").agg(
+        weights = keyword_weights(ranked, idf).groupBy("article_id", "keyword").agg(
             F.min("channel_id").alias("channel_id"), F.max("weight").alias("weight"))
         return weights.groupBy("article_id").agg(
             F.min("channel_id").alias("channel_id"), _weight_map().alias("keywords"),
@@ -239,7 +230,7 @@ def article_profile(ranked: DataFrame, tfidf: DataFrame, idf: DataFrame,
     known = idf.select("keyword", "idf")
     terms = (
         ranked.join(marked, ["article_id", "keyword"], "left")
-        .join(F.broadcast(known) if vocab_size <= BROADCAST_TERMS else known, "keyword", "left")
+        .join(known, "keyword", "left")
         .select("article_id", "channel_id", "keyword", "topic",
                 (F.col("textrank") * F.col("idf")).alias("weight"))
         .groupBy("article_id", "keyword")
@@ -261,9 +252,8 @@ def _weight_map() -> Column:
 
 
 def article_labels(docs: DataFrame, idf: DataFrame, text_col: str = "sentence", k: int = 20,
-                   stopwords: Sequence[str] = (), vocab_size: int = 20_000,
-                   **rank_options) -> tuple[DataFrame, DataFrame]:
+                   stopwords: Sequence[str] = (), **rank_options) -> tuple[DataFrame, DataFrame]:
     """(tfidf, textrank) keyword tables of new articles under a known IDF table."""
     tokens = tokenize(docs, text_col, stopwords=stopwords)
-    return (tfidf_topk(tokens, idf, k, vocab_size),
+    return (tfidf_topk(tokens, idf, k),
             textrank(docs, text_col, k=k, stopwords=stopwords, **rank_options))

@@ -34,6 +34,20 @@ def dense_index(df: DataFrame, col: str, buckets: int = INDEX_BUCKETS) -> DataFr
     )
 
 
+def range_rank(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` with a gapless 0-based rank by ``order``: ranges of rows are ranked in
+    parallel and shifted by the rows of the ranges before, one number per range."""
+    df = materialize(df, "unranked")
+    dealt = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+             .withColumn("_at", F.monotonically_increasing_id()))
+    dealt = materialize(dealt, "ranges").withColumn("_part", F.shiftright("_at", 33))
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).select(
+        "_part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("before")
+    return dealt.join(F.broadcast(sizes), "_part").select(*df.columns, place.alias(name))  # one row per range
+
+
 def als_recall(interactions: DataFrame, k: int = 100, users: DataFrame | None = None,
                seed: int = 42, als: ALS | None = None) -> DataFrame:
     """(user_id, article_id, score): the k best articles of each user by ALS.

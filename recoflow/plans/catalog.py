@@ -178,7 +178,7 @@ def word2vec_vocabulary(spark, sf):
     """One Word2Vec model per channel; which words got a vector, and its length."""
     tok = materialize(I.tokens(spark, sf), "tokens")
     channels = sorted(r[0] for r in tok.select("channel_id").distinct().collect())
-    models = vectors.train_word_vectors(tok, channels, size=16)
+    models = vectors.train_word_vectors(tok, channels)
     return vectors.word_vectors(models).select(
         "channel_id", "keyword", F.size("vector").cast("long").alias("dims"))
 
@@ -267,7 +267,7 @@ def new_articles(spark, sf):
 
 @query
 def read_recall(spark, sf):
-    return recall.read_recall(I.stored_recall(spark, sf), ["als", "online"])
+    return recall.read_recall(I.stored_recall(spark, sf, every=True), ["als", "online"])
 
 
 @query
@@ -335,7 +335,7 @@ def ctr_scores(spark, sf):
     """Fit, save, load and apply the click model (scores have no SQL twin)."""
     samples = materialize(I.samples(spark, sf), "samples")
     path = scratch_dir(spark, "ctr-model")
-    ctr.save_model(ctr.train_ctr(samples, maxIter=20), path)
+    ctr.save_model(ctr.train_ctr(samples), path)
     return ctr.score_ctr(ctr.load_model(path), samples).select(
         "user_id", "article_id", "clicked", _r("score"))
 
@@ -347,8 +347,8 @@ def auc_accuracy(spark, sf):
 
 @query
 def roc_curve(spark, sf):
-    return evaluation.roc_curve(I.label_scores(spark, sf), 100).select(
-        _r("threshold", 4), _r("fpr"), _r("tpr"))
+    return evaluation.roc_curve(I.label_scores(spark, sf)).select(
+        _r("threshold", 8), _r("fpr"), _r("tpr"))
 
 
 # -- feeds --------------------------------------------------------------------
@@ -389,27 +389,29 @@ def wait_split(spark, sf):
 @query
 def serve_waiting(spark, sf):
     waiting = I.lines(spark, sf, False).withColumn("pos", F.col("article_id"))
-    cached = I.served(spark, sf).where(F.col("request_ts") == 1705190400000).select(
+    served = I.served(spark, sf)
+    newest = feed.last_served(served).withColumnRenamed("last_ts", "request_ts")
+    cached = served.join(newest, ["user_id", "channel_id", "request_ts"]).select(
         "user_id", "channel_id", "pos", "article_id")
     return feed.serve_waiting(I.requests(spark, sf), waiting, cached, cap=3)
 
 
 @query
 def last_served(spark, sf):
-    return feed.last_served(I.served(spark, sf))
+    return feed.last_served(I.served(spark, sf, every=True))
 
 
 @query
 def refresh_or_history(spark, sf):
     asks = I.requests(spark, sf).withColumn("time_stamp", F.lit(1704844800000))
-    return feed.route_requests(asks, I.served(spark, sf)).select(
+    return feed.route_requests(asks, I.served(spark, sf, every=True)).select(
         "user_id", "channel_id", "last_ts", "route")
 
 
 @query
 def history_page(spark, sf):
     """Pages at, after and before every served feed."""
-    served = I.served(spark, sf)
+    served = I.served(spark, sf, every=True)
     asks = served.select("user_id", "channel_id", F.explode(F.array(
         F.col("request_ts"), F.col("request_ts") + 3600000, F.lit(1).cast("long"))).alias("time_stamp")).distinct()
     return feed.history_page(asks, served).select(
@@ -419,7 +421,7 @@ def history_page(spark, sf):
 
 @query
 def track_payload(spark, sf):
-    lists = feed.assign_strategy(feed.feed_rows_to_lists(I.served(spark, sf)))
+    lists = feed.assign_strategy(feed.feed_rows_to_lists(I.served(spark, sf, every=True)))
     route = F.when(F.col("channel_id") == 0, "history").otherwise("refresh")
     return feed.track_payload(lists.withColumn("route", route))
 

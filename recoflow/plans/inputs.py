@@ -95,12 +95,13 @@ def lines(spark, sf, before: bool) -> DataFrame:
     return actions.action_flags(part).select(*recall.RECALL_KEYS).distinct()
 
 
-def served(spark, sf) -> DataFrame:
-    """Served history: one feed per user, channel and day before the split;
+def served(spark, sf, every: bool = False) -> DataFrame:
+    """Served history: one feed per user, channel and day, of all events or those before the split;
     'error' events count for the mixed channel 0."""
     from pyspark.sql import Window
     k = F.get_json_object("props", "$.k").cast("long")
-    rows = A.read(spark, sf, "events").where(F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz")).select(
+    events = A.read(spark, sf, "events")
+    rows = (events if every else events.where(F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz"))).select(
         "event_id", "user_id",
         F.when(F.col("event_type") == "error", 0).otherwise(k % 25 + 1).cast("int").alias("channel_id"),
         millis(F.col("ts").cast("date")).alias("request_ts"), k.alias("article_id"))
@@ -108,12 +109,13 @@ def served(spark, sf) -> DataFrame:
     return rows.withColumn("pos", F.row_number().over(order).cast("long")).drop("event_id")
 
 
-def stored_recall(spark, sf) -> DataFrame:
-    """Stored recall rows from the events since the split: purchases stand for
+def stored_recall(spark, sf, every: bool = False) -> DataFrame:
+    """Stored recall rows from all events or those since the split: purchases stand for
     als, clicks for content, signups for online."""
     source = (F.when(F.col("action") == "collect", "als").when(F.col("action") == "click", "content")
               .when(F.col("action") == "share", "online"))
-    rows = scanned(spark, sf).where(F.col("action_time") >= F.lit(SPLIT).cast("timestamp_ntz")).select(
+    log = scanned(spark, sf)
+    rows = (log if every else log.where(F.col("action_time") >= F.lit(SPLIT).cast("timestamp_ntz"))).select(
         "user_id", "channel_id", source.alias("recall_type"),
         F.col("article_ids").try_cast("long").alias("article_id"))
     return rows.where(F.col("recall_type").isNotNull()).distinct()

@@ -76,8 +76,7 @@ PARTS: dict[str, str] = {
         lambda w: length(w) >= 3 AND w NOT IN ({STOP})) AS words FROM docs""",
     "tf": """SELECT article_id, channel_id, w AS keyword, count(*) AS tf
         FROM (SELECT article_id, channel_id, unnest(words) AS w FROM words) GROUP BY ALL""",
-    "vocabulary": """SELECT keyword, count(*) AS df, sum(tf) AS n FROM tf GROUP BY keyword
-        ORDER BY n DESC, keyword LIMIT 20000""",
+    "vocabulary": """SELECT keyword, count(*) AS df, sum(tf) AS n FROM tf GROUP BY keyword""",
     "idf": """SELECT keyword, ln(((SELECT count(*) FROM docs) + 1e0) / (df + 1e0)) AS idf,
         row_number() OVER (ORDER BY n DESC, keyword) - 1 AS idx FROM vocabulary""",
     "tfidf": """SELECT article_id, channel_id, keyword, tfidf FROM (
@@ -150,6 +149,13 @@ PARTS: dict[str, str] = {
         row_number() OVER (PARTITION BY user_id, channel_id, request_ts ORDER BY event_id) AS pos, article_id
         FROM (SELECT event_id, user_id, {_served_channel()} AS channel_id, {_DAY_MS} AS request_ts, {K} AS article_id
               FROM events WHERE ts < {SPLIT})""",
+    "served_all": f"""SELECT user_id, channel_id, request_ts,
+        row_number() OVER (PARTITION BY user_id, channel_id, request_ts ORDER BY event_id) AS pos, article_id
+        FROM (SELECT event_id, user_id, {_served_channel()} AS channel_id, {_DAY_MS} AS request_ts, {K} AS article_id
+              FROM events)""",
+    "stored_all": """SELECT DISTINCT user_id, channel_id, CASE action WHEN 'collect' THEN 'als'
+        WHEN 'click' THEN 'content' ELSE 'online' END AS recall_type, k AS article_id
+        FROM log WHERE action IN ('collect', 'click', 'share')""",
     # features
     "user_feats": """SELECT user_id, channel_id, list(weight ORDER BY weight) AS weights FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id, channel_id ORDER BY weight) AS rn FROM interests)
@@ -225,7 +231,7 @@ QUERIES: dict[str, str] = {
                  round(sum(weight), 4) AS weight FROM weighted GROUP BY article_id, channel_id)
         JOIN (SELECT article_id, string_agg(keyword, ',' ORDER BY keyword) AS topics
               FROM topic_terms GROUP BY article_id) USING (article_id)""",
-    "word2vec_vocabulary": """SELECT channel_id, keyword, CAST(16 AS BIGINT) AS dims FROM tf
+    "word2vec_vocabulary": """SELECT channel_id, keyword, CAST(100 AS BIGINT) AS dims FROM tf
         GROUP BY channel_id, keyword HAVING sum(tf) >= 3""",
     "article_vector_mean": f"""SELECT article_id, channel_id, CAST(len(v) AS BIGINT) AS dims,
         round(v[1], 6) AS first, round(v[{I.DIM}], 6) AS last, round(list_sum(v), 5) AS total FROM article_mean""",
@@ -249,7 +255,7 @@ QUERIES: dict[str, str] = {
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)) WHERE rank <= 10""",
     "new_articles": """SELECT * FROM (SELECT *, row_number() OVER (
         PARTITION BY channel_id ORDER BY arrived DESC, article_id) AS rank FROM arrived) WHERE rank <= 10""",
-    "read_recall": "SELECT * FROM stored WHERE recall_type IN ('als', 'online')",
+    "read_recall": "SELECT * FROM stored_all WHERE recall_type IN ('als', 'online')",
     "recall_union": """SELECT user_id, channel_id,
         CASE WHEN left(md5(user_id::VARCHAR), 1) IN ('e', 'f') THEN 'Algo-2' ELSE 'Algo-1' END AS strategy,
         article_id, array_to_string(sources, ',') AS sources FROM recalled""",
@@ -269,10 +275,10 @@ QUERIES: dict[str, str] = {
           round(avg(CASE WHEN (score >= 0.5)::INT = label THEN 1e0 ELSE 0e0 END), 6) AS accuracy, count(*) AS n
         FROM (SELECT label, score, rank() OVER (ORDER BY score)
                 + (count(*) OVER (PARTITION BY score) - 1) / 2e0 AS rk FROM label_scores)""",
-    "roc_curve": """SELECT round(bin / 100e0, 4) AS threshold,
-          round(sum(neg) OVER (ORDER BY bin DESC) / sum(neg) OVER (), 6) AS fpr,
-          round(sum(pos) OVER (ORDER BY bin DESC) / sum(pos) OVER (), 6) AS tpr
-        FROM (SELECT least(floor(score * 100), 99) AS bin, sum(label)::DOUBLE AS pos, sum(1 - label)::DOUBLE AS neg
+    "roc_curve": """SELECT round(score, 8) AS threshold,
+          round(sum(neg) OVER (ORDER BY score DESC) / sum(neg) OVER (), 6) AS fpr,
+          round(sum(pos) OVER (ORDER BY score DESC) / sum(pos) OVER (), 6) AS tpr
+        FROM (SELECT score, sum(label)::DOUBLE AS pos, sum(1 - label)::DOUBLE AS neg
               FROM label_scores GROUP BY 1)""",
     "ab_bucket": """SELECT user_id, bucket, strategy, unnest(['als', 'content', 'online', 'new', 'hot']) AS source,
           CASE strategy WHEN 'Algo-1' THEN 'LR' ELSE 'WDL' END AS sort
@@ -281,7 +287,7 @@ QUERIES: dict[str, str] = {
     "feed_split": f"""SELECT user_id, channel_id, CAST({I.REQUEST_MS} AS BIGINT) AS request_ts, rank AS pos, article_id
         FROM ranked_feed WHERE rank <= {I.ARTICLE_NUM}""",
     "wait_split": f"""SELECT user_id, channel_id, rank - {I.ARTICLE_NUM} AS pos, article_id
-        FROM ranked_feed WHERE rank > {I.ARTICLE_NUM} AND rank <= 100""",
+        FROM ranked_feed WHERE rank > {I.ARTICLE_NUM}""",
     "serve_waiting": f"""SELECT user_id, channel_id, time_stamp, CASE WHEN opened THEN n ELSE pos0 END AS pos, article_id,
           CASE WHEN opened AND n <= {I.ARTICLE_NUM} THEN 'served' WHEN opened OR level = 0 THEN 'cached'
                ELSE 'waiting' END AS state
@@ -290,15 +296,16 @@ QUERIES: dict[str, str] = {
                   PARTITION BY user_id, channel_id ORDER BY level, pos0, article_id) AS n
                 FROM (SELECT user_id, channel_id, article_id AS pos0, article_id, 1 AS level FROM later
                       UNION ALL SELECT user_id, channel_id, pos, article_id, 0 FROM served
-                      WHERE request_ts = 1705190400000)))
+                      WHERE (user_id, channel_id, request_ts) IN (
+                        SELECT (user_id, channel_id, max(request_ts)) FROM served GROUP BY user_id, channel_id))))
         JOIN requests USING (user_id, channel_id)""",
-    "last_served": "SELECT user_id, channel_id, max(request_ts) AS last_ts FROM served GROUP BY user_id, channel_id",
+    "last_served": "SELECT user_id, channel_id, max(request_ts) AS last_ts FROM served_all GROUP BY user_id, channel_id",
     "refresh_or_history": """SELECT r.user_id, r.channel_id, coalesce(s.last_ts, 0) AS last_ts,
           CASE WHEN coalesce(s.last_ts, 0) < 1704844800000 THEN 'refresh' ELSE 'history' END AS route
         FROM requests r LEFT JOIN (SELECT user_id, channel_id, max(request_ts) AS last_ts
-          FROM served GROUP BY user_id, channel_id) s USING (user_id, channel_id)""",
+          FROM served_all GROUP BY user_id, channel_id) s USING (user_id, channel_id)""",
     "history_page": """WITH pages AS (SELECT user_id, channel_id, request_ts,
-            string_agg(article_id::VARCHAR, ',' ORDER BY pos) AS articles FROM served GROUP BY ALL),
+            string_agg(article_id::VARCHAR, ',' ORDER BY pos) AS articles FROM served_all GROUP BY ALL),
           asks AS (SELECT DISTINCT user_id, channel_id,
             unnest([request_ts, request_ts + 3600000, 1]) AS time_stamp FROM pages)
         SELECT a.user_id, a.channel_id, a.time_stamp,
@@ -316,7 +323,7 @@ QUERIES: dict[str, str] = {
             AS recommends
         FROM (SELECT user_id, channel_id, request_ts AS time_stamp, list(article_id ORDER BY pos) AS articles,
                 CASE WHEN left(md5(user_id::VARCHAR), 1) IN ('e', 'f') THEN 'Algo-2' ELSE 'Algo-1' END AS strategy
-              FROM served GROUP BY user_id, channel_id, request_ts)""",
+              FROM served_all GROUP BY user_id, channel_id, request_ts)""",
     "latest_upsert": """SELECT o_custkey, o_orderdate, o_orderkey FROM (SELECT *, row_number() OVER (
         PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders_in) WHERE rn = 1""",
     "version_read": """SELECT * FROM (SELECT *, row_number() OVER (

@@ -17,15 +17,6 @@ def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on an input that is a single small file.
-
-    Large inputs have more scan partitions than cores and pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _log_columns(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("long")
     action = F.lit(None).cast("string")
@@ -71,11 +62,10 @@ def new_article_messages(events: DataFrame) -> DataFrame:
 
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """``documents`` as (article_id, channel_id, sentence)."""
-    docs = read(spark, sf, "documents").select(
+    return read(spark, sf, "documents").select(
         F.col("doc_id").alias("article_id"),
         F.regexp_replace("source", "[^0-9]", "").cast("int").alias("channel_id"),
         F.col("text").alias("sentence"))
-    return spread(docs, "article_id")
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:

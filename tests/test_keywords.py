@@ -39,13 +39,33 @@ def test_idf_and_vocabulary_limit(spark):
     assert set(out) == {"aaa", "ccc"}
 
 
-def test_tfidf_same_with_and_without_broadcast(spark, rows):
+def test_every_term_is_numbered_by_default(spark):
+    texts = [f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]} common" for i in range(300)]
+    out = sorted((r["index"], r["keyword"]) for r in K.idf_table(K.tokenize(docs(spark, texts))).collect())
+    assert [i for i, _ in out] == list(range(101))
+    assert out[0][1] == "common" and [k for _, k in out[1:]] == sorted(k for _, k in out[1:])
+
+
+def test_tfidf_picks_the_best_term(spark, rows):
     df = K.tokenize(docs(spark, ["aaa bbb bbb", "aaa ccc", "ddd"]))
-    idf = K.idf_table(df)
-    small = K.tfidf_topk(df, idf, k=1)
-    large = K.tfidf_topk(df, idf, k=1, vocab_size=K.BROADCAST_TERMS + 1)
-    assert rows(small) == rows(large.select(*small.columns))
-    assert [r[2] for r in rows(small)] == ["bbb", "ccc", "ddd"]
+    assert [r[2] for r in rows(K.tfidf_topk(df, K.idf_table(df), k=1))] == ["bbb", "ccc", "ddd"]
+
+
+def test_large_idf_is_not_broadcast(spark, capsys):
+    idf = spark.range(1_000_000).select(F.col("id").cast("string").alias("keyword"), F.lit(1.0).alias("idf"))
+    ranked = spark.createDataFrame([(1, 5, "7", 1.0)], "article_id long, channel_id int, keyword string, textrank double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        K.keyword_weights(ranked, idf).explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Broadcast" not in capsys.readouterr().out
+
+
+def test_textrank_needs_no_exchange(spark, capsys):
+    K.textrank(docs(spark, ["one two three"])).explain()
+    assert "Exchange" not in capsys.readouterr().out
 
 
 def brute_rank(text, window=5, iters=10, d=0.85):
