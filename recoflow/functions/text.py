@@ -29,8 +29,3 @@ def is_keyword(word: Column, min_len: int = 3, stopwords: Sequence[str] = ()) ->
     if stopwords:
         keep = keep & ~word.isin(list(stopwords))
     return keep
-
-
-def keyword_candidates(text: Column, min_len: int = 3, stopwords: Sequence[str] = ()) -> Column:
-    """Words of ``text`` that pass :func:`is_keyword`, in text order."""
-    return F.filter(split_words(text), lambda w: is_keyword(w, min_len, stopwords))

@@ -23,8 +23,7 @@ DAY_MS = 86_400_000
 
 def strategy_table(spark: SparkSession) -> DataFrame:
     """(strategy, digits, sources, sort): the experiment set-up, one row per strategy."""
-    rows = [(name, list(S.BUCKETS[name]), [S.RECALL_SOURCES[n] for n in conf["recall"]],
-             S.SORT_SERVICES[conf["sort"]]) for name, conf in S.STRATEGIES.items()]
+    rows = [(name, S.BUCKETS[name], conf["sources"], conf["sort"]) for name, conf in S.STRATEGIES.items()]
     return spark.createDataFrame(
         rows, "strategy string, digits array<string>, sources array<string>, sort string")
 
@@ -32,7 +31,7 @@ def strategy_table(spark: SparkSession) -> DataFrame:
 def assign_strategy(requests: DataFrame) -> DataFrame:
     """Add ``bucket`` (first md5 digit of the user id) and ``strategy``."""
     bucket = first_md5_digit(F.col("user_id"))
-    strategy = F.when(bucket.isin(list(S.BUCKETS["Algo-1"])), "Algo-1").otherwise("Algo-2")
+    strategy = F.when(bucket.isin(S.BUCKETS["Algo-1"]), "Algo-1").otherwise("Algo-2")
     return requests.withColumn("bucket", bucket).withColumn("strategy", strategy)
 
 

@@ -48,13 +48,13 @@ def range_rank(df: DataFrame, order: list, name: str) -> DataFrame:
     return dealt.join(F.broadcast(sizes), "_part").select(*df.columns, place.alias(name))  # one row per range
 
 
-def als_recall(interactions: DataFrame, k: int = 100, users: DataFrame | None = None,
+def als_recall(interactions: DataFrame, users: DataFrame, k: int = 100,
                seed: int = 42, als: ALS | None = None) -> DataFrame:
     """(user_id, article_id, score): the k best articles of each user by ALS.
 
     ``interactions`` has (user_id, article_id, clicked); the rating is clicked
-    as 0/1. Ids of any size are numbered densely first. Scoring is users x
-    articles inside the model, so pass the active ``users`` on large data.
+    as 0/1. Ids of any size are numbered densely first. Scoring inside the model
+    is ``users`` x articles, so the caller names the users to serve.
     """
     # Read before and after the fit, so written once.
     user_ids = materialize(dense_index(interactions, "user_id").withColumnRenamed("idx", "u"), "users")
@@ -67,11 +67,8 @@ def als_recall(interactions: DataFrame, k: int = 100, users: DataFrame | None =
     als = als or ALS()
     als = als.copy().setUserCol("u").setItemCol("a").setRatingCol("r").setSeed(seed)
     model = als.fit(ratings)
-    if users is None:
-        best = model.recommendForAllUsers(k)
-    else:
-        wanted = users.select("user_id").distinct().join(user_ids, "user_id").select(F.col("u").cast("int"))
-        best = model.recommendForUserSubset(wanted, k)
+    wanted = users.select("user_id").distinct().join(user_ids, "user_id").select(F.col("u").cast("int"))
+    best = model.recommendForUserSubset(wanted, k)
     return (
         best.select("u", F.explode("recommendations").alias("rec"))
         .select("u", F.col("rec.a").alias("a"), F.col("rec.rating").alias("score"))

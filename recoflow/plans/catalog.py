@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recoflow.functions import keys as K
@@ -236,13 +236,33 @@ def dense_ids(spark, sf):
 @query
 def als_recall(spark, sf):
     """Collaborative recall per user with its channel, history removed (no SQL twin)."""
-    found = recall.als_recall(I.folded(spark, sf), k=20)
+    found = recall.als_recall(I.folded(spark, sf), I.folded(spark, sf), k=20)
     channels = I.folded(spark, sf).select("article_id", (F.col("article_id") % 25 + 1).cast("int").alias("channel_id"))
     return recall.exclude_history(
         recall.with_channel(found, channels.distinct()), I.lines(spark, sf, True)).select(
         "user_id", "channel_id", "article_id", _r("score", 4))
 
 
+@query
+def als_recall_checks(spark, sf):
+    """For every user of the log: at most k articles, all of the log, none had before, best first."""
+    done = materialize(I.folded(spark, sf), "folded")
+    found = materialize(recall.als_recall(done, done, k=20), "found")
+    kept = recall.exclude_history(found.withColumn("channel_id", F.lit(0)), done.where("clicked").select(
+        "user_id", F.lit(0).alias("channel_id"), "article_id"))
+    order = Window.partitionBy("user_id").orderBy(F.desc("score"), "article_id")
+    ranked = kept.withColumn("rank", F.row_number().over(order)).withColumn("last", F.lag("score").over(order))
+    known = done.select("article_id").distinct().withColumn("known", F.lit(True))
+    had = done.where("clicked").select("user_id", "article_id", F.lit(True).alias("had"))
+    checks = (ranked.join(known, "article_id", "left").join(had, ["user_id", "article_id"], "left").groupBy("user_id").agg(
+        (F.max("rank") <= 20).alias("few"), F.bool_and(F.col("known").isNotNull()).alias("known"),
+        F.bool_and(F.col("had").isNull()).alias("fresh"),
+        F.bool_and(F.col("last").isNull() | (F.col("last") >= F.col("score"))).alias("falling")))
+    users = done.select("user_id").distinct()
+    return users.join(checks, "user_id", "left").select("user_id", *[
+        F.coalesce(c, F.lit(True)).alias(c) for c in ("few", "known", "fresh", "falling")])
+
+
 @query
 def hot_top10(spark, sf):
     return recall.hot_articles(I.hot(spark, sf))
@@ -340,6 +360,23 @@ def ctr_scores(spark, sf):
         "user_id", "article_id", "clicked", _r("score"))
 
 
+@query
+def ctr_model_checks(spark, sf):
+    """The fitted click model on its rows: at convergence the mean score is the click
+    rate; scores are probabilities; the log loss beats the constant; clicks rank higher."""
+    scored = materialize(ctr_scores(spark, sf), "scored")
+    area = evaluation.auc_accuracy(scored.select("score", F.col("clicked").alias("label"))).select("auc")
+    p = F.least(F.greatest(F.col("score"), F.lit(1e-9)), F.lit(1 - 1e-9))
+    rate = F.avg("clicked")
+    sums = scored.agg(
+        F.count(F.lit(1)).alias("n"), F.round(rate, 6).alias("click_rate"),
+        (F.abs(F.avg("score") - rate) < 1e-3).alias("calibrated"),
+        F.bool_and(F.col("score").between(0, 1)).alias("probabilities"),
+        (F.avg(-F.log(F.when(F.col("clicked") == 1, p).otherwise(1 - p)))
+         < -(rate * F.log(rate) + (1 - rate) * F.log(1 - rate))).alias("better_than_constant"))
+    return sums.withColumn("clicks_rank_higher", area.scalar() > 0.5)
+
+
 @query
 def auc_accuracy(spark, sf):
     return evaluation.auc_accuracy(I.label_scores(spark, sf)).select(_r("auc"), _r("accuracy"), "n")
@@ -438,7 +475,7 @@ def latest_upsert(spark, sf):
     orders, path = _orders(spark, sf), scratch_dir(spark, "store")
     old = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")
     tables.create_store(orders.where(old), path, ["o_custkey"], "o_orderdate", buckets=8)
-    tables.upsert(orders.where(~old), path, ["o_custkey"], "o_orderdate", buckets=8)
+    tables.upsert(orders.where(~old), path, ["o_custkey"], "o_orderdate")
     return tables.read_store(spark, path)
 
 
@@ -507,5 +544,5 @@ def stream_new(spark, sf):
 def stream_recall(spark, sf):
     clicks = streams.click_stream(A.click_messages(_event_stream(spark, sf)))
     near = materialize(I.similar_table(spark, sf), "similar")
-    path = _run(spark, online.stream_content_recall, clicks, near)
-    return spark.read.parquet(path).select("user_id", "channel_id", "article_id")
+    path = _run(spark, online.stream_content_recall, clicks, lambda: near)
+    return recall.read_recall(spark.read.parquet(path), ["online"]).select("user_id", "channel_id", "article_id")

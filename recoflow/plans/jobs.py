@@ -3,7 +3,8 @@
 ``root`` is the folder of the tables named below. Every product that a later
 step needs is written once and read back, so no step recomputes another's plan.
 
-    article_data, idf, tfidf, textrank, article_profile, article_vector   append
+    article_data, tfidf, textrank, article_profile, article_vector        a partition per hour
+    idf                                                                   replaced
     article_similar                                                       keyed store
     user_article, user_interest                                           replaced
     recall, feature_user, feature_article, served, waiting                see jobs
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recoflow.operators import actions, articles, ctr, feed, keywords, profiles, recall, similar, vectors
@@ -21,19 +22,31 @@ from recoflow.session import materialize
 from recoflow.sources import tables
 
 
+HOUR = "hour"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, to_path = tables._filesystem(spark, path)
     return fs.exists(to_path(path))
 
 
-def _append(df: DataFrame, path: str) -> DataFrame:
-    """Append ``df`` and return exactly these rows, read from a single copy."""
+def _publish(df: DataFrame, path: str, hour: Column) -> DataFrame:
+    """Write ``df`` as the partition of its hour and return these rows, read from a
+    single copy. A job that runs again for an hour overwrites what it wrote before."""
     rows = materialize(df, path.rstrip("/").rsplit("/", 1)[-1])
-    tables.append(rows, path)
+    (rows.withColumn(HOUR, F.date_format(hour, "yyyyMMddHH")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(HOUR).parquet(path))
     return rows
 
 
-def build_idf(docs: DataFrame, root: str, stopwords: Sequence[str] = (), vocab_size: int = 20_000) -> None:
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of each article's newest hour: a republished article counts once."""
+    newest = Window.partitionBy("article_id").orderBy(F.desc(F.col(HOUR).cast("string")))
+    return (tables.table(spark, path).withColumn("_rank", F.rank().over(newest))
+            .where(F.col("_rank") == 1).drop("_rank", HOUR))
+
+
+def build_idf(docs: DataFrame, root: str, stopwords: Sequence[str] = (), vocab_size: int | None = None) -> None:
     """Rebuild the IDF table from a whole corpus."""
     tokens = keywords.tokenize(docs, stopwords=stopwords)
     tables.replace(keywords.idf_table(tokens, vocab_size), f"{root}/idf")
@@ -50,14 +63,15 @@ def update_articles(basic: DataFrame, content: DataFrame, channels: DataFrame, r
     """
     spark = basic.sparkSession
     start, end = articles.previous_hour(now)
-    docs = _append(articles.merge_articles(basic, content, channels, start, end), f"{root}/article_data")
+    publish = lambda df, name: _publish(df, f"{root}/{name}", start)
+    docs = publish(articles.merge_articles(basic, content, channels, start, end), "article_data")
     idf = tables.table(spark, f"{root}/idf")
     tfidf, ranked = keywords.article_labels(docs, idf, stopwords=stopwords)
-    tfidf, ranked = _append(tfidf, f"{root}/tfidf"), _append(ranked, f"{root}/textrank")
-    profile = _append(keywords.article_profile(ranked, tfidf, idf), f"{root}/article_profile")
-    new = _append(vectors.article_vectors(profile, word_vectors), f"{root}/article_vector")
+    tfidf, ranked = publish(tfidf, "tfidf"), publish(ranked, "textrank")
+    profile = publish(keywords.article_profile(ranked, tfidf, idf), "article_profile")
+    new = publish(vectors.article_vectors(profile, word_vectors), "article_vector")
     near = similar.similar_articles(
-        new, tables.table(spark, f"{root}/article_vector"), threshold=threshold, k=k,
+        new, current(spark, f"{root}/article_vector"), threshold=threshold, k=k,
         tables=tables_per_hash, bucket_length=bucket_length, dim=dim)
     lists = near.groupBy("article_id").agg(
         F.array_sort(F.collect_list(F.struct("rank", "similar_id", "distance"))).alias("near"))
@@ -67,7 +81,7 @@ def update_articles(basic: DataFrame, content: DataFrame, channels: DataFrame, r
 
 def _store(rows: DataFrame, path: str, keys: list[str], order: str, buckets: int) -> None:
     if exists(rows.sparkSession, path):
-        tables.upsert(rows, path, keys, order, buckets)
+        tables.upsert(rows, path, keys, order)
     else:
         tables.create_store(rows, path, keys, order, buckets)
 
@@ -87,7 +101,7 @@ def update_users(log: DataFrame, root: str, now: Column, read_threshold: float =
     else:
         merged = actions.fold_actions(new)
     tables.replace(merged, path)
-    topics = tables.table(spark, f"{root}/article_profile").select("article_id", "channel_id", "topics")
+    topics = current(spark, f"{root}/article_profile").select("article_id", "channel_id", "topics")
     interests = profiles.user_interests(tables.table(spark, path), topics, now, read_threshold)
     tables.replace(interests, f"{root}/user_interest")
 
@@ -95,16 +109,16 @@ def update_users(log: DataFrame, root: str, now: Column, read_threshold: float =
 def update_features(spark: SparkSession, root: str) -> None:
     """Daily: the two feature tables of the click model."""
     tables.replace(ctr.user_features(tables.table(spark, f"{root}/user_interest")), f"{root}/feature_user")
-    features = ctr.article_features(tables.table(spark, f"{root}/article_profile"),
-                                    tables.table(spark, f"{root}/article_vector"))
+    features = ctr.article_features(current(spark, f"{root}/article_profile"),
+                                    current(spark, f"{root}/article_vector"))
     tables.replace(features, f"{root}/feature_article")
 
 
-def update_recall(spark: SparkSession, root: str, k: int = 100, users: DataFrame | None = None) -> None:
-    """Daily: append collaborative and content recall that users have not had yet."""
+def update_recall(spark: SparkSession, root: str, users: DataFrame, k: int = 100) -> None:
+    """Daily: append collaborative recall of the active ``users`` and content recall, if not had yet."""
     done = tables.table(spark, f"{root}/user_article")
-    channels = tables.table(spark, f"{root}/article_data").select("article_id", "channel_id")
-    als = recall.with_channel(recall.als_recall(done, k, users), channels).where(F.col("channel_id").isNotNull())
+    channels = current(spark, f"{root}/article_data").select("article_id", "channel_id").distinct()
+    als = recall.with_channel(recall.als_recall(done, users, k), channels).where(F.col("channel_id").isNotNull())
     content = recall.content_recall(done.where("clicked"), similar_rows(spark, root))
     rows = recall.recall_rows(als, "als").unionByName(recall.recall_rows(content, "content"))
     path = f"{root}/recall"

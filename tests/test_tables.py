@@ -40,7 +40,7 @@ def test_upsert_latest_wins_and_is_idempotent(spark, rows, tmp_path):
     tables.create_store(frame(spark, [(i, "old", 5) for i in range(50)]), path, ["id"], "ts", buckets=4)
     new = frame(spark, [(1, "new", 6), (1, "newer", 7), (2, "late", 4), (99, "added", 1)])
     for _ in range(2):
-        tables.upsert(new, path, ["id"], "ts", buckets=4)
+        tables.upsert(new, path, ["id"], "ts")
         out = {r["id"]: r["v"] for r in tables.read_store(spark, path).collect()}
         assert len(out) == 51 and tables.read_store(spark, path).count() == 51
         assert (out[1], out[2], out[99], out[3]) == ("newer", "old", "added", "old")
@@ -51,11 +51,33 @@ def test_upsert_rewrites_only_its_buckets(spark, tmp_path):
     tables.create_store(frame(spark, [(i, "old", 5) for i in range(50)]), str(path), ["id"], "ts", buckets=8)
     files = lambda: {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
     before = files()
-    tables.upsert(frame(spark, [(1, "new", 6)]), str(path), ["id"], "ts", buckets=8)
+    tables.upsert(frame(spark, [(1, "new", 6)]), str(path), ["id"], "ts")
     changed = {p.parent.name for p in set(before) ^ set(files())}
     assert len(changed) == 1
 
 
+def test_a_rebuilt_store_holds_only_new_rows(spark, rows, tmp_path):
+    path = str(tmp_path / "store")
+    tables.create_store(frame(spark, [(i, "old", 5) for i in range(20)]), path, ["id"], "ts", buckets=4)
+    tables.create_store(frame(spark, [(7, "new", 1)]), path, ["id"], "ts", buckets=8)
+    assert rows(tables.read_store(spark, path)) == [(7, "new", 1)] and tables.store_buckets(spark, path) == 8
+
+
+def test_replace_drops_what_a_broken_run_left(spark, rows, tmp_path):
+    path = str(tmp_path / "table")
+    frame(spark, [(1, "stale", 1)]).write.partitionBy("ts").parquet(path + ".new")
+    tables.replace(frame(spark, [(2, "good", 2)]), path, ["ts"])
+    assert rows(tables.table(spark, path).select("id")) == [(2,)]
+
+
+def test_store_of_maps(spark, tmp_path):
+    df = spark.createDataFrame([(1, {"a": 1.0}, 3), (1, {"b": 2.0}, 3), (2, {"c": 1.0}, 1)], "id int, weights map<string, double>, ts int")
+    path = str(tmp_path / "store")
+    tables.create_store(df, path, ["id"], "ts", buckets=2)
+    tables.upsert(df, path, ["id"], "ts")
+    assert {r.id: r.weights for r in tables.read_store(spark, path).collect()} == {1: {"b": 2.0}, 2: {"c": 1.0}}
+
+
 def test_latest_versions(spark, rows):
     df = frame(spark, [(1, "a", 1), (1, "b", 2), (1, "c", 3), (2, "d", 9)])
     out = tables.latest_versions(df, ["id"], "ts", n=1, before=F.lit(3)).select("id", "v", "version")
