@@ -19,7 +19,8 @@ BENCH_QUERIES = [
     "idf_table", "tfidf_top20", "textrank_top20", "article_profile", "article_vector_mean",
     "similar_top10", "content_recall", "history_anti", "hot_top10", "hot_parts", "recall_union",
     "user_features", "article_features", "ctr_samples", "auc_accuracy", "feed_split",
-    "serve_waiting", "history_page", "track_payload", "latest_upsert", "stream_hot",
+    "serve_waiting", "history_page", "track_payload", "latest_upsert", "stream_hot", "stream_recall",
+    "similar_incremental", "wait_split", "als_recall", "ctr_scores", "word2vec_vocabulary",
 ]
 
 
