@@ -164,7 +164,7 @@ def track_payload(feed: DataFrame) -> DataFrame:
     """(user_id, channel_id, time_stamp, param, recommends): what the client sends back.
 
     ``feed`` has one row per request: its key, ``strategy``, ``articles`` and
-    ``route``. ``param`` reports the exposure (empty when paging history),
+    ``route``; its paging cursor ``next_ts``, if there, is kept. ``param`` reports the exposure (empty when paging history),
     ``recommends`` has the click, collect, share and read messages per article.
     """
     def message(action: str, article: Column) -> Column:
@@ -180,7 +180,8 @@ def track_payload(feed: DataFrame) -> DataFrame:
     return feed.select(
         *REQUEST_KEY,
         F.when(F.col("route") == "history", "").otherwise(message("exposure", listed)).alias("param"),
-        F.to_json(F.transform("articles", per_article)).alias("recommends"))
+        F.to_json(F.transform("articles", per_article)).alias("recommends"),
+        *[c for c in feed.columns if c == "next_ts"])
 
 
 def feed_rows_to_lists(feed: DataFrame) -> DataFrame:

@@ -458,7 +458,11 @@ def history_page(spark, sf):
 
 @query
 def track_payload(spark, sf):
-    lists = feed.assign_strategy(feed.feed_rows_to_lists(I.served(spark, sf, every=True)))
+    served = I.served(spark, sf, every=True)
+    lists = feed.assign_strategy(feed.feed_rows_to_lists(served))
+    # the cursor of a feed: the time of the one before it
+    pages = feed.history_page(lists.select(*feed.REQUEST_KEY), served)
+    lists = lists.join(pages.select(*feed.REQUEST_KEY, "next_ts"), feed.REQUEST_KEY)
     route = F.when(F.col("channel_id") == 0, "history").otherwise("refresh")
     return feed.track_payload(lists.withColumn("route", route))
 

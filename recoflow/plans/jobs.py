@@ -127,23 +127,46 @@ def update_recall(spark: SparkSession, root: str, users: DataFrame, k: int = 100
     tables.append(materialize(rows, "recall"), path)
 
 
+def _table_or(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return tables.table(spark, path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def serve_feeds(requests: DataFrame, root: str, new: DataFrame, hot: DataFrame, dim: int = 100,
                 **ranking) -> DataFrame:
-    """Answer refresh requests: feeds and leftovers are appended, payloads returned."""
+    """Answer requests: (request key, param, recommends, next_ts).
+
+    A request that is not newer than the line's last feed pages through the
+    history. Any other is served from the line's leftovers first and gets a
+    computed feed only if there are none. Both go into the history; served
+    leftovers leave the waiting table, those of new feeds enter it. ``next_ts``
+    is the time to ask with for the feed before this one (0: none).
+    """
     spark = requests.sparkSession
-    served_path = f"{root}/served"
-    empty = spark.createDataFrame(
-        [], "user_id long, channel_id int, request_ts long, pos long, article_id long")
-    served = tables.table(spark, served_path) if exists(spark, served_path) else empty
-    fresh = feed.route_requests(requests, served).where(F.col("route") == "refresh").drop("route", "last_ts")
-    candidates = recall.recall_union(feed.assign_strategy(fresh), tables.table(spark, f"{root}/recall"),
+    served_path, waiting_path = f"{root}/served", f"{root}/waiting"
+    served = _table_or(spark, served_path, "user_id long, channel_id int, request_ts long, pos long, article_id long")
+    waiting = _table_or(spark, waiting_path, "user_id long, channel_id int, pos long, article_id long")
+    asks = materialize(feed.route_requests(requests, served), "requests")
+    fresh = asks.where(F.col("route") == "refresh")
+
+    leftovers = feed.serve_waiting(fresh, waiting).where(F.col("state") == "served")
+    leftovers = materialize(leftovers.withColumnRenamed("time_stamp", "request_ts").select(
+        *feed.LINE, "request_ts", "pos", "article_id"), "leftovers")
+    open_lines = fresh.join(leftovers.select(*feed.LINE).distinct(), feed.LINE, "left_anti").drop("route", "last_ts")
+    candidates = recall.recall_union(feed.assign_strategy(open_lines), tables.table(spark, f"{root}/recall"),
                                      new, hot, feed.strategy_table(spark))
     ranked = materialize(ctr.rank_candidates(
         feed.exclude_served(candidates, served), tables.table(spark, f"{root}/feature_user"),
         tables.table(spark, f"{root}/feature_article"), dim=dim, **ranking), "ranked")
     first, rest = feed.split_feed(ranked)
-    lists = feed.assign_strategy(feed.feed_rows_to_lists(first)).withColumn("route", F.lit("refresh"))
-    payload = materialize(feed.track_payload(lists), "payload")
-    tables.append(first, served_path)
-    tables.append(rest, f"{root}/waiting")
+    answered = materialize(first.unionByName(leftovers), "answered")
+
+    pages = feed.history_page(asks.where(F.col("route") == "history"), served)
+    lists = feed.feed_rows_to_lists(answered).unionByName(pages.drop("next_ts"))
+    answers = (asks.join(lists, feed.REQUEST_KEY, "left").join(pages.select(*feed.REQUEST_KEY, "next_ts"), feed.REQUEST_KEY, "left")
+               .withColumn("articles", F.coalesce("articles", F.array().cast("array<bigint>")))
+               .withColumn("next_ts", F.when(F.col("route") == "history", F.col("next_ts")).otherwise(F.col("last_ts"))))
+    payload = materialize(feed.track_payload(feed.assign_strategy(answers)), "payload")
+    kept = waiting.join(leftovers.select(*feed.LINE, "article_id"), [*feed.LINE, "article_id"], "left_anti")
+    tables.append(answered, served_path)
+    tables.replace(kept.select(*waiting.columns).unionByName(rest), waiting_path)
     return payload

@@ -323,7 +323,7 @@ QUERIES: dict[str, str] = {
               "exposure", "'[' || array_to_string(articles, ',') || ']'")} END AS param,
           to_json(list_transform(articles, lambda a: {{'article_id': a, 'param': {{{', '.join(
               f"'{x}': " + _message(x, 'a::VARCHAR') for x in ('click', 'collect', 'share', 'read'))}}}}}))::VARCHAR
-            AS recommends
+            AS recommends, coalesce(lag(time_stamp) OVER (PARTITION BY user_id, channel_id ORDER BY time_stamp), 0) AS next_ts
         FROM (SELECT user_id, channel_id, request_ts AS time_stamp, list(article_id ORDER BY pos) AS articles,
                 CASE WHEN left(md5(user_id::VARCHAR), 1) IN ('e', 'f') THEN 'Algo-2' ELSE 'Algo-1' END AS strategy
               FROM served_all GROUP BY user_id, channel_id, request_ts)""",

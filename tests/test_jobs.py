@@ -73,6 +73,16 @@ def test_jobs_end_to_end(spark, tmp_path, rows):
     first = {tuple(r) for r in served.select("user_id", "article_id").collect()}
     serve(requests)  # same time: not newer than the last feed
     assert tables.table(spark, f"{root}/served").count() == len(first)
-    serve(requests.withColumn("time_stamp", F.lit(2000).cast("long")))
+    left = {tuple(r) for r in tables.table(spark, f"{root}/waiting").select("user_id", "article_id").collect()}
+    at_time = lambda t: {r.user_id: r for r in serve(requests.withColumn("time_stamp", F.lit(t).cast("long"))).collect()}
+    newer = at_time(2000)
+    assert {r.next_ts for r in newer.values()} == {1000}, "the cursor is the time of the feed before"
     second = tables.table(spark, f"{root}/served").where("request_ts = 2000")
-    assert not first & {tuple(r) for r in second.select("user_id", "article_id").collect()}
+    second = {tuple(r) for r in second.select("user_id", "article_id").collect()}
+    assert not first & second
+    assert {p for p in second if p[0] in {u for u, _ in left}} <= left, "leftovers come first"
+    assert not second & {tuple(r) for r in tables.table(spark, f"{root}/waiting").select("user_id", "article_id").collect()}
+    import json
+    back = at_time(1000)
+    assert {(u, a["article_id"]) for u, r in back.items() for a in json.loads(r.recommends)} == first, "paging back"
+    assert {(r.param, r.next_ts) for r in back.values()} == {("", 0)}
