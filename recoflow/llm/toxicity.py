@@ -136,7 +136,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     known = (labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
              .filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    sample = materialize(known.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id")
+    known = materialize(known.withColumn("order", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))), "labels")
+    # only rows that can be among the smallest leave their tasks
+    share = min(1.0, 2 * max_rows / max(1, known.count()))
+    sample = materialize(known.filter(F.col("order") < int(share * (1 << 40))).orderBy("order", "doc_id")
                          .limit(max_rows), "labelled")
     some, _ = split_by_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id",
                            sample.select("doc_id"))

@@ -45,8 +45,10 @@ def build_dictionary(pages: DataFrame, payload: str = "html", key: str = "page_i
     """A dictionary from ``SAMPLE_RECORDS`` payloads, those with the smallest hash; empty if there are too few."""
     import zstandard
     rows = (pages.filter(F.octet_length(payload).between(1, SAMPLE_RECORD_BYTES))
-            .select(F.col(payload).alias("p"), F.xxhash64(key, payload).alias("h"))
-            .orderBy("h", "p").limit(SAMPLE_RECORDS).collect())
+            .select(F.col(payload).alias("p"), F.pmod(F.xxhash64(key, payload), F.lit(1 << 40)).alias("h")))
+    # only rows that can be among the smallest leave their tasks
+    share = min(1.0, 4 * SAMPLE_RECORDS / max(1, pages.count()))
+    rows = rows.filter(F.col("h") < int(share * (1 << 40))).orderBy("h", "p").limit(SAMPLE_RECORDS).collect()
     samples = [r.p.encode() for r in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if len(samples) >= 8 else b""
