@@ -38,6 +38,7 @@ SHINGLE = 5
 FREQUENT = 1 << 21          # shingles with a known list length: 32 MB at most
 SPLIT = 512                 # postings of a frequent shingle that one task takes
 SLICE_BYTES = 4 << 20
+BEST_ROUNDS = 3             # rounds that try each text's best pair before all that are left
 
 
 def _sets(column):
@@ -80,7 +81,7 @@ def _profile(batches):
         every = np.sort(np.concatenate(tokens)) if tokens else np.zeros(0, np.int64)
         edge = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1], [True]])) if len(every) else np.zeros(1, int)
         times = np.diff(edge)
-        often = times > 2
+        often = times > 1
         k = int(often.sum())
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(k, ids.type), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()),
@@ -207,11 +208,11 @@ def _similar(texts: DataFrame, pairs: DataFrame, shipped) -> DataFrame:
 
 
 def frequent(counts: DataFrame):
-    """A broadcast ``Order`` from ``counts`` (token, times): of the lists of 8 documents or more, the longest.
+    """A broadcast ``Order`` from ``counts`` (token, times): of the lists of 4 documents or more, the longest.
 
     Whole powers of two are taken, as many as fit into ``FREQUENT`` entries.
     """
-    often = materialize(counts.groupBy("token").agg(F.sum("times").alias("times")).filter(F.col("times") >= 8), "often")
+    often = materialize(counts.groupBy("token").agg(F.sum("times").alias("times")).filter(F.col("times") >= 4), "often")
     sizes = dict(often.groupBy(F.floor(F.log2("times")).alias("k")).count().collect())
     low = min((k for k in sizes if sum(n for j, n in sizes.items() if j >= k) <= FREQUENT), default=62)
     table = often.filter(F.col("times") >= F.lit(1 << low)).toPandas()
@@ -244,15 +245,36 @@ def linked(postings: DataFrame, texts: DataFrame, shipped) -> DataFrame:
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
                    & (F.struct("x.n", "x.doc_id") < F.struct("y.n", "y.doc_id"))
                    & _may_reach("x.n", "x.pos", "y.n", "y.pos"))
-    pairs = materialize(pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(), "second")
-    more = _similar(some, pairs, shipped)
-    if more.isEmpty():
-        return joined
-    known = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b")
-    return materialize(components(more.unionByName(known)), "joined")
-
-
-_SURROGATE = 1 << 62
+    # what two sets share lies in both short parts, but for the long part of one of them
+    n, m = F.col("n").cast("long"), F.col("m").cast("long")
+    pairs = (pairs.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+             .agg(F.count("*").alias("met"), F.max("x.n").alias("n"), F.max("y.n").alias("m"))
+             .filter(175 * (F.col("met") + F.ceil(F.lit(0.75) * F.greatest(n, m)) - 1) >= 75 * (n + m)).select("a", "b", "met"))
+    pairs = materialize(pairs, "second")
+    # most pairs of a large group fall away once each member has met the one it shares most with
+    for last in (*[False] * BEST_ROUNDS, True):
+        if pairs.isEmpty():
+            break
+        now = pairs if last else pairs.join(_best(pairs), ["a", "b"])
+        links = _similar(some, now.select("a", "b"), shipped)
+        if not links.isEmpty():
+            known = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b")
+            joined = materialize(components(links.unionByName(known)), "joined")
+        if not last:
+            part = lambda side: joined.select(F.col("node").alias(side), F.col("component").alias(f"{side}_in"))
+            left = pairs.join(now.select("a", "b"), ["a", "b"], "left_anti").join(part("a"), "a", "left").join(part("b"), "b", "left")
+            left = left.filter(F.coalesce("a_in", "a") != F.coalesce("b_in", "b"))
+            pairs = materialize(left.select("a", "b", "met"), "second")
+    return joined
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """For each member of ``pairs`` (a, b, met) its pair with most in common."""
+    of = lambda me: pairs.groupBy(F.col(me).alias("me")).agg(F.max_by(F.struct("a", "b"), F.struct("met", "a", "b")).alias("p"))
+    return of("a").unionByName(of("b")).select("p.a", "p.b").distinct()
+
+
+_SURROGATE = 1 << 62         # ids from here on stand for null ids
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -280,11 +302,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _may_reach(n: str, pos: str, m: str, at: str):
-    """Length and position filter for a pair that first meets at these places of its ordered sets."""
+    """Length and position filter for two sets with a common token at these places; all of a similar pair's pass."""
     n, pos, m, at = (F.col(c).cast("long") for c in (n, pos, m, at))
-    bound = F.lit(1) + F.least(n - pos, m - at) - 1
-    small, large = F.least(n, m), F.greatest(n, m)
-    return (100 * small >= 75 * large) & (175 * bound >= 75 * (n + m))
+    bound = F.least(pos, at) + F.least(n - pos, m - at)
+    return (100 * F.least(n, m) >= 75 * F.greatest(n, m)) & (175 * bound >= 75 * (n + m))
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:

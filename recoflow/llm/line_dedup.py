@@ -95,7 +95,7 @@ def _profile(batches):
         every = np.sort(np.concatenate(tokens)) if tokens else np.zeros(0, np.int64)
         edge = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1], [True]])) if len(every) else np.zeros(1, int)
         times = np.diff(edge)
-        often = times > 2
+        often = times > 1
         k = int(often.sum())
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(k, ids.type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
