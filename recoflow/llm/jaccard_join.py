@@ -245,11 +245,7 @@ def linked(postings: DataFrame, texts: DataFrame, shipped) -> DataFrame:
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
                    & (F.struct("x.n", "x.doc_id") < F.struct("y.n", "y.doc_id"))
                    & _may_reach("x.n", "x.pos", "y.n", "y.pos"))
-    # what two sets share lies in both short parts, but for the long part of one of them
-    n, m = F.col("n").cast("long"), F.col("m").cast("long")
-    pairs = (pairs.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-             .agg(F.count("*").alias("met"), F.max("x.n").alias("n"), F.max("y.n").alias("m"))
-             .filter(175 * (F.col("met") + F.ceil(F.lit(0.75) * F.greatest(n, m)) - 1) >= 75 * (n + m)).select("a", "b", "met"))
+    pairs = pairs.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).agg(F.count("*").alias("met"))
     pairs = materialize(pairs, "second")
     # most pairs of a large group fall away once each member has met the one it shares most with
     for last in (*[False] * BEST_ROUNDS, True):
@@ -302,9 +298,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _may_reach(n: str, pos: str, m: str, at: str):
-    """Length and position filter for two sets with a common token at these places; all of a similar pair's pass."""
+    """Length and position filter for two sets whose first common token is at these places."""
     n, pos, m, at = (F.col(c).cast("long") for c in (n, pos, m, at))
-    bound = F.least(pos, at) + F.least(n - pos, m - at)
+    bound = F.least(n - pos, m - at)
     return (100 * F.least(n, m) >= 75 * F.greatest(n, m)) & (175 * bound >= 75 * (n + m))
 
 
