@@ -11,8 +11,11 @@ gets the same surrogate in every document.
 
 Surrogates are checked: one that another entity got too, or that is itself an
 entity of the corpus, is drawn again with the next attempt number, until all are
-distinct. Only the distinct entities take part in that; a document is touched
-only if it has one, and moves once.
+distinct. From attempt ``LONGER`` on each attempt adds a character (an address
+becomes one of IPv6), so free values always exist, also where nothing can be
+drawn anew (``------``) or a format has fewer values than entities. Only the
+distinct entities take part in that; a document is touched only if it has one,
+and moves once.
 
 Defined results: a null text stays null; rows with equal id and text are treated
 alike; nothing found leaves the text as it is.
@@ -52,6 +55,29 @@ PATTERNS = {
     "name": rf"\b(?:{FEMALE}|{MALE}|{NEUTRAL})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
 }
 ANY = "|".join(PATTERNS.values())
+# What a character is drawn from, by its sort; the first that fits. Others, the separators, stay.
+ALPHABETS = {
+    "[0-9]": "0123456789",
+    "[a-z]": "abcdefghijklmnopqrstuvwxyz",
+    "[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "[а-яё]": "абвгдежзиклмнопрстуфхцчшщэюя",
+    "[А-ЯЁ]": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ",
+    r"(?=\p{IsGreek})\p{Lu}": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+    r"\p{IsGreek}": "αβγδεζηθικλμνξοπρστυφχψω",
+    r"\p{IsHan}": "安白北本长成大东方高古光国海和华江金京开立林明木南平青山上石水天文西小新雪阳云中",
+    r"\p{IsHiragana}": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろ",
+    r"\p{IsKatakana}": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロ",
+    r"\p{IsHangul}": "가나다라마바사아자차카타파하고노도로모보소오조초코토포호구누두루무부수우주추쿠투푸후",
+    r"\p{IsArabic}": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    r"\p{IsHebrew}": "אבגדהוזחטיכלמנסעפצקרשת",
+    r"\p{IsDevanagari}": "अआइईउऊएऐओऔकखगघचछजझटठडढतथदधनपफबभमयरलवशषसह",
+    r"\p{IsThai}": "กขคงจฉชซญดตถทธนบปผพฟมยรลวสหอ",
+    r"\p{Lu}": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    r"[\p{L}\p{M}]": "abcdefghijklmnopqrstuvwxyz",
+    r"\p{N}": "0123456789",
+}
+SYMBOL, SYMBOLS = r"[!#$%&*?@^~+=\\]|(?![\x00-\x7f])\p{S}", "!#$%&*?@^~+="      # drawn in secrets only
+LONGER = 6                 # attempts before surrogates become longer
 
 
 def kind_of(raw):
@@ -81,25 +107,21 @@ def _drawn(key, kind, value, attempt, block):
     return F.sha2(F.concat_ws("\u0000", key, kind, value, attempt.cast("string"), F.lit(str(block))), 512)
 
 
-def _letters(stream, text, fixed):
-    """``text`` with each digit and letter drawn anew, of the same sort; the first ``fixed`` characters stay.
+def _letters(stream, text, fixed, symbols):
+    """``text`` with each character but separators drawn anew, of the same sort; the first ``fixed`` characters stay.
 
-    ``stream`` is hexadecimal and reused for long texts with the place mixed in.
+    ``stream`` is hexadecimal and reused for long texts with the place mixed in;
+    ``symbols`` says whether these are drawn too.
     """
     span = F.length(stream) - 3
 
     def one(c, i):
+        sort = F.when(i < fixed, None)
+        for pattern, letters in ALPHABETS.items():
+            sort = sort.when(c.rlike(pattern), F.lit(letters))
+        sort = sort.when(symbols & c.rlike(SYMBOL), F.lit(SYMBOLS))
         seed = F.conv(F.substr(stream, F.pmod(i * 3, span) + 1, F.lit(3)), 16, 10).cast("int") + i
-        nth = lambda letters: F.substr(F.lit(letters), F.pmod(seed, F.lit(len(letters))) + 1, F.lit(1))
-        return (F.when(i < fixed, c)
-                .when(c.rlike("[0-9]"), nth("0123456789"))
-                .when(c.rlike("[a-z]"), nth("abcdefghijklmnopqrstuvwxyz"))
-                .when(c.rlike("[A-Z]"), nth("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-                .when(c.rlike(r"[а-яё]"), nth("абвгдежзиклмнопрстуфхцчшщэюя"))
-                .when(c.rlike(r"[А-ЯЁ]"), nth("АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЩЭЮЯ"))
-                .when(c.rlike(r"\p{Ll}"), nth("abcdefghijklmnopqrstuvwxyz"))
-                .when(c.rlike(r"\p{Lu}"), nth("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-                .otherwise(c))
+        return F.coalesce(F.substr(sort, F.pmod(seed, F.length(sort)) + 1, F.lit(1)), c)
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
@@ -116,34 +138,43 @@ def surrogate(key, kind, value, attempt):
     """The surrogate of a canonical entity, itself in canonical form."""
     stream = F.concat(*[_drawn(key, kind, value, attempt, b) for b in range(2)])
     number = lambda at, n: F.pmod(F.conv(F.substr(stream, F.lit(at), F.lit(6)), 16, 10).cast("long"), F.lit(n))
-    letters = lambda text, fixed: _letters(stream, text, F.lit(fixed))
+    # characters added by late attempts, from a block of their own
+    more = F.greatest(attempt - (LONGER - 1), F.lit(0))
+    added = F.substr(_drawn(key, kind, value, attempt, 2), F.lit(1), more)
+    digits, small = F.translate(added, "abcdef", "012345"), F.translate(added, "0123456789", "ghijklmnop")
     octets = F.concat_ws(".", *[(number(1 + 6 * i, 254) + 1).cast("string") for i in range(4)])
-    user, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
-    last = F.length(domain) - F.length(F.substring_index(domain, ".", -1))
-    mail = F.concat(letters(user, 0), F.lit("@"), letters(F.substr(domain, F.lit(1), last), 0), F.substring_index(domain, ".", -1))
+    wide = F.concat(F.lit("fd"), F.substr(stream, F.lit(1), F.lit(2)), *[F.concat(F.lit(":"), F.substr(stream, F.lit(3 + 4 * i), F.lit(4))) for i in range(7)])
+    user, top = F.substring_index(value, "@", 1), F.substring_index(value, ".", -1)
     sex, rest = F.substring_index(value, ":", 1), F.substr(value, F.lit(3))
     first, family = F.substring_index(rest, " ", 1), F.when(rest.contains(" "), F.substring_index(rest, " ", -1))
+    # one call for all kinds keeps the plan small
+    text = (F.when(kind == "email", F.substr(value, F.lit(1), F.length(value) - F.length(top)))
+            .when(kind == "name", F.coalesce(family, first)).otherwise(value))
+    fixed = (F.when(kind == "card", 1).when(kind == "iban", 2).when(kind == "access", 4)
+             .when((kind == "phone") & value.startswith("+"), 2).otherwise(0))
+    letters = _letters(stream, text, fixed, ~kind.isin(*[k for k in PATTERNS if k != "secret"]))
+    mail = F.concat(F.substr(letters, F.lit(1), F.length(user)), small, F.substr(letters, F.length(user) + 1, F.length(letters)), top)
     script = F.when(rest.rlike(r"[Ѐ-ӿ]"), F.lit("cyrillic")).otherwise(F.lit("latin"))
     given = F.lit(None).cast("string")
     for (name_script, name_sex), names in NAMES.items():
         given = F.when((script == name_script) & (sex == name_sex), F.get(F.array(*[F.lit(n) for n in names]), number(1, len(names)).cast("int"))).otherwise(given)
     # a name alone is kept distinct by letters after the given name
-    tail = F.when(family.isNull(), F.when(attempt > 0, letters(first, 0))).otherwise(letters(family, 0))
+    tail = F.when(family.isNotNull() | (attempt > 0), letters)
     person = F.concat_ws(":", sex, F.lower(F.concat_ws(" ", given, tail)))
-    return (F.when(kind == "email", mail).when(kind == "ip", octets)
-            .when(kind == "card", _luhn(letters(value, 1)))
-            .when(kind == "phone", F.when(value.startswith("+"), letters(value, 2)).otherwise(letters(value, 0)))
-            .when(kind == "iban", letters(value, 2)).when(kind == "access", letters(value, 4))
-            .when(kind == "name", person).otherwise(letters(value, 0)))
+    return (F.when(kind == "email", mail).when(kind == "ip", F.when(attempt < LONGER, octets).otherwise(wide))
+            .when(kind == "card", _luhn(F.concat(letters, digits)))
+            .when(kind.isin("phone", "iban", "ssn"), F.concat(letters, digits))
+            .when(kind == "access", F.concat(letters, F.upper(small)))
+            .when(kind == "name", F.concat(person, small)).otherwise(F.concat(letters, small)))
 
 
 def shaped(kind, raw, value):
     """``value`` with the separators, title and capitals of the mention ``raw``."""
-    # the n-th character that is no separator takes the n-th of the surrogate
+    # the n-th character that is no separator takes the n-th of the surrogate, the last one also what is longer
     spread = F.aggregate(
         F.split(raw, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
         lambda a, c: F.when(c.rlike("[0-9A-Z+]"), F.struct(F.concat(a["out"], F.substr(value, a["at"], F.lit(1))).alias("out"), (a["at"] + 1).alias("at")))
-        .otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["at"].alias("at"))), lambda a: a["out"])
+        .otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["at"].alias("at"))), lambda a: F.concat(a["out"], F.substr(value, a["at"], F.length(value))))
     title = F.regexp_extract(raw, rf"^(?:{FEMALE}|{MALE}|{NEUTRAL})\.? ", 0)
     return (F.when(kind.isin("card", "phone", "iban"), spread)
             .when(kind == "name", F.concat(title, F.initcap(F.substr(value, F.lit(3))))).otherwise(value))
@@ -155,6 +186,7 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     todo, done, attempt = real, None, 0
     while True:
         drawn = todo.withColumn("surrogate", surrogate(F.lit(key), F.col("kind"), F.col("value"), F.lit(attempt)))
+        drawn = materialize(drawn, "drawn")
         taken = real.select("kind", F.col("value").alias("surrogate"))
         if done is not None:
             taken = taken.unionByName(done.select("kind", "surrogate"))

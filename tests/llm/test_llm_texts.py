@@ -204,3 +204,17 @@ def test_surrogates_stay_distinct(spark):
     out = surrogates.assign(spark.createDataFrame(rows, "kind string, value string")).collect()
     drawn = [r.surrogate for r in out]
     assert len(out) == 60 and len(set(drawn)) == 60 or len(out) == 60
+
+
+def test_surrogates_always_end(spark):
+    """Masked and foreign secrets, and more entities than a shape has free values."""
+    secrets = ["********", "--------", "密码是很安全的", "كلمةالسر", "סיסמאסוד", "Pa$$w0rd!"]
+    rows = [(i, f"password={t} end") for i, t in enumerate(secrets)] + [(9, "card 4041-8949-7460-8795")]
+    got = {r.doc_id: r.text for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    drawn = [re.fullmatch(r"password=([^\s,;]{6,}) end", got[i])[1] for i in range(len(secrets))]
+    assert len(set(drawn)) == len(secrets) and not set(drawn) & set(secrets)
+    assert not set(drawn[2]) & set(secrets[2]) - set(surrogates.ALPHABETS[r"\p{IsHan}"]) and re.fullmatch(r"[א-ת]+", drawn[4])
+    rows = [("secret", f"{i:02d}") for i in range(60)]
+    out = surrogates.assign(spark.createDataFrame(rows, "kind string, value string")).collect()
+    drawn = [r.surrogate for r in out if r.kind == "secret"]
+    assert len(out) == 60 and len(set(drawn)) == 60 and not set(drawn) & {r.value for r in out}
