@@ -9,6 +9,13 @@ same case and script, separators, country code and title kept, card check digits
 valid, addresses in range, given names of the title's gender. The same entity
 gets the same surrogate in every document.
 
+A person is a full name, without titles, middle initials and case; the given
+name's gender comes from any mention with a gendered title. A surname alone after
+a title is, within its document, the one full name there that has it and does
+not have the other gender; with none or several it is a person of its own. Names
+and surnames that a document has after a title are replaced there without one
+too. Given names alone and inflected names are not found.
+
 Surrogates are checked: one that another entity got too, or that is itself an
 entity of the corpus, is drawn again with the next attempt number, until all are
 distinct. From attempt ``LONGER`` on each attempt adds a character (an address
@@ -23,7 +30,7 @@ alike; nothing found leaves the text as it is.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recoflow.llm.common import free_name, read, split_by_ids
@@ -42,6 +49,9 @@ NAMES = {
 FEMALE = "Mrs|Ms|Miss|Mme|Madame|Frau|Señora|Sra|Signora|Г-жа"
 MALE = "Mr|Monsieur|Herr|Señor|Sr|Signor|Г-н"
 NEUTRAL = "Dr|Prof|Mx"
+TITLE = rf"(?:{FEMALE}|{MALE}|{NEUTRAL})"
+PARTICLES = "(?:de|da|do|dos|das|di|del|della|der|den|du|la|van|von|ter|ten|zu|zum|bin|ibn|af|av)"
+WORD = rf"(?!{TITLE}\b)\p{{Lu}}[\p{{L}}\p{{M}}]*(?:['’]\p{{Lu}}[\p{{L}}\p{{M}}]*|-\p{{L}}[\p{{L}}\p{{M}}]*)*"
 # The kinds in the order they are tried, without groups that capture.
 PATTERNS = {
     "email": r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -52,7 +62,7 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|\+\d{8,15}(?!\d)",
-    "name": rf"\b(?:{FEMALE}|{MALE}|{NEUTRAL})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
+    "name": rf"\b(?:{TITLE}\.? )+(?:(?:{WORD}|(?:\p{{Lu}}\.)+|{PARTICLES}) )*(?=\p{{Lu}}[\p{{L}}\p{{M}}'’]){WORD}",
 }
 ANY = "|".join(PATTERNS.values())
 # What a character is drawn from, by its sort; the first that fits. Others, the separators, stay.
@@ -91,16 +101,68 @@ def kind_of(raw):
 
 def canonical(kind, raw):
     """What two mentions of one entity have in common."""
-    title = rf"^(?:{FEMALE}|{MALE}|{NEUTRAL})\.? "
     return (F.when(kind == "email", F.lower(raw))
             .when(kind.isin("card", "iban"), F.regexp_replace(raw, "[ -]", ""))
             .when(kind == "phone", F.regexp_replace(raw, r"[^\d+]", ""))
-            .when(kind == "name", F.concat_ws(":", gender(raw), F.lower(F.regexp_replace(raw, title, ""))))
+            .when(kind == "name", F.lower(plain(raw)))
             .otherwise(raw))
 
 
 def gender(raw):
-    return (F.when(raw.rlike(rf"^(?:{FEMALE})\b"), F.lit("f")).when(raw.rlike(rf"^(?:{MALE})\b"), F.lit("m")).otherwise(F.lit("n")))
+    return (F.when(raw.rlike(rf"^(?:{TITLE}\.? )*(?:{FEMALE})\b"), F.lit("f"))
+            .when(raw.rlike(rf"^(?:{TITLE}\.? )*(?:{MALE})\b"), F.lit("m")).otherwise(F.lit("n")))
+
+
+def untitled(raw):
+    return F.regexp_replace(raw, rf"^(?:{TITLE}\.? )+", "")
+
+
+def plain(raw):
+    """A name without titles and middle initials."""
+    return F.regexp_replace(untitled(raw), r"(?<= )(?:(?:\p{Lu}\.)+|\p{Lu}) ", "")
+
+
+def surname(name):
+    """The last word of a plain name, with the particles before it."""
+    return F.regexp_extract(name, rf"(?i)(?:^|(?<= ))((?:{PARTICLES} )*[^ ]+?(?: (?:jr|ii|iii|iv))?)$", 1)
+
+
+def known_names(found):
+    """Names and surnames after titles among the mentions ``found``, longest first."""
+    named = F.filter(found, lambda x: x.rlike(rf"^{TITLE}\.? "))
+    names = F.array_distinct(F.flatten(F.transform(named, lambda x: F.array(untitled(x), plain(x), surname(plain(x))))))
+    sized = F.transform(F.filter(names, lambda x: F.length(x) > 1), lambda x: F.struct(-F.length(x), x.alias("name")))
+    return F.transform(F.array_sort(sized), lambda x: x["name"])
+
+
+def with_names(known):
+    """The pattern of a document that has the ``known`` names."""
+    quoted = F.array_join(F.transform(known, lambda x: F.concat(F.lit("\\Q"), x, F.lit("\\E"))), "|")
+    more = F.concat(F.lit(r"|(?<![\p{L}\p{M}\p{N}])(?:"), quoted, F.lit(r")(?![\p{L}\p{M}\p{N}])"))
+    return F.concat(F.lit(ANY), F.when(F.size(known) > 0, more).otherwise(F.lit("")))
+
+
+def persons(names: DataFrame) -> DataFrame:
+    """Name mentions (_id, _hash, raw, ident) with the identity resolved in their document and ``sex``.
+
+    The identity of a full name begins with ``:``, that of a surname of its own with its gender.
+    """
+    names = names.withColumn("sex", gender(F.col("raw"))).withColumn("_last", surname(F.col("ident")))
+    whole, name, sex = F.col("_last") != F.col("ident"), F.col("ident"), F.col("sex")
+    # full names have one gender in the corpus, none if their titles disagree
+    known = names.filter(whole & (sex != "n")).groupBy("ident").agg(F.when(F.min("sex") == F.max("sex"), F.min("sex")).alias("_sex"))
+    names = names.join(known, "ident", "left").withColumn("sex", F.when(whole, F.coalesce("_sex", F.lit("n"))).otherwise(sex)).drop("_sex")
+    near = Window.partitionBy("_id", "_hash", "_last")
+    names = names.withColumn("_full", F.collect_set(F.when(whole, F.struct(name.alias("name"), sex.alias("sex")))).over(near))
+    names = names.withColumn("_sexes", F.collect_set(F.when(~whole & (sex != "n"), sex)).over(near))
+    of = lambda keep: F.array_distinct(F.transform(F.filter("_full", keep), lambda x: x["name"]))
+    one = lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0)))
+    every, same = of(lambda x: F.lit(True)), of(lambda x: x["sex"] == F.col("sex"))
+    open_ = F.array_except(every, of(lambda x: ~x["sex"].isin("n") & (x["sex"] != F.col("sex"))))
+    linked = F.when(sex == "n", one(every)).when(F.size(same) > 0, one(same)).otherwise(one(open_))
+    own = F.when(sex != "n", sex).otherwise(F.coalesce(one(F.col("_sexes")), F.lit("n")))
+    ident = F.when(whole, F.concat(F.lit(":"), name)).otherwise(F.coalesce(F.concat(F.lit(":"), linked), F.concat_ws(":", own, name)))
+    return names.withColumn("ident", ident).drop("_last", "_full", "_sexes")
 
 
 def _drawn(key, kind, value, attempt, block):
@@ -146,10 +208,11 @@ def surrogate(key, kind, value, attempt):
     wide = F.concat(F.lit("fd"), F.substr(stream, F.lit(1), F.lit(2)), *[F.concat(F.lit(":"), F.substr(stream, F.lit(3 + 4 * i), F.lit(4))) for i in range(7)])
     user, top = F.substring_index(value, "@", 1), F.substring_index(value, ".", -1)
     sex, rest = F.substring_index(value, ":", 1), F.substr(value, F.lit(3))
-    first, family = F.substring_index(rest, " ", 1), F.when(rest.contains(" "), F.substring_index(rest, " ", -1))
+    first = F.substring_index(rest, " ", 1)
+    listed = (surname(rest) != rest) & ~first.endswith(".")     # else a surname alone or an initial: letters only
     # one call for all kinds keeps the plan small
     text = (F.when(kind == "email", F.substr(value, F.lit(1), F.length(value) - F.length(top)))
-            .when(kind == "name", F.coalesce(family, first)).otherwise(value))
+            .when(kind == "name", F.when(listed, F.substr(rest, F.length(first) + 2)).otherwise(rest)).otherwise(value))
     fixed = (F.when(kind == "card", 1).when(kind == "iban", 2).when(kind == "access", 4)
              .when((kind == "phone") & value.startswith("+"), 2).otherwise(0))
     letters = _letters(stream, text, fixed, ~kind.isin(*[k for k in PATTERNS if k != "secret"]))
@@ -158,9 +221,7 @@ def surrogate(key, kind, value, attempt):
     given = F.lit(None).cast("string")
     for (name_script, name_sex), names in NAMES.items():
         given = F.when((script == name_script) & (sex == name_sex), F.get(F.array(*[F.lit(n) for n in names]), number(1, len(names)).cast("int"))).otherwise(given)
-    # a name alone is kept distinct by letters after the given name
-    tail = F.when(family.isNotNull() | (attempt > 0), letters)
-    person = F.concat_ws(":", sex, F.lower(F.concat_ws(" ", given, tail)))
+    person = F.concat(sex, F.lit(":"), F.lower(F.concat_ws(" ", F.when(listed, given), letters)))
     return (F.when(kind == "email", mail).when(kind == "ip", F.when(attempt < LONGER, octets).otherwise(wide))
             .when(kind == "card", _luhn(F.concat(letters, digits)))
             .when(kind.isin("phone", "iban", "ssn"), F.concat(letters, digits))
@@ -175,24 +236,32 @@ def shaped(kind, raw, value):
         F.split(raw, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
         lambda a, c: F.when(c.rlike("[0-9A-Z+]"), F.struct(F.concat(a["out"], F.substr(value, a["at"], F.lit(1))).alias("out"), (a["at"] + 1).alias("at")))
         .otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["at"].alias("at"))), lambda a: F.concat(a["out"], F.substr(value, a["at"], F.length(value))))
-    title = F.regexp_extract(raw, rf"^(?:{FEMALE}|{MALE}|{NEUTRAL})\.? ", 0)
+    # a surname takes the last words, and capitals lie where the mention has them
+    title, name, drawn = F.regexp_extract(raw, rf"^(?:{TITLE}\.? )+", 0), plain(raw), F.split(F.substr(value, F.lit(3)), " ")
+    capitals = lambda text, like: F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(
+        F.get(F.split(like, ""), i).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
+    size, last = F.size(F.split(name, " ")), lambda n: F.array_join(F.slice(drawn, F.greatest(-n, -F.size(drawn)), n), " ")
+    alone = surname(F.lower(name)) == F.lower(name)
+    full = F.concat(F.initcap(F.get(drawn, F.lit(0))), F.lit(" "), capitals(last(F.greatest(F.size(drawn) - 1, F.lit(1))), F.substr(name, F.length(F.substring_index(name, " ", 1)) + 2)))
     return (F.when(kind.isin("card", "phone", "iban"), spread)
-            .when(kind == "name", F.concat(title, F.initcap(F.substr(value, F.lit(3))))).otherwise(value))
+            .when(kind == "name", F.concat(title, F.when(alone, capitals(last(size), name)).otherwise(full))).otherwise(value))
 
 
 def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, value, surrogate) of distinct ``entities`` (kind, value), all surrogates distinct and none an entity."""
     real = materialize(entities.select("kind", "value").distinct(), "entities")
     todo, done, attempt = real, None, 0
+    # names are told apart without their gender
+    shown = lambda c: F.when(F.col("kind") == "name", F.substr(F.col(c), F.lit(3))).otherwise(F.col(c)).alias("shown")
     while True:
         drawn = todo.withColumn("surrogate", surrogate(F.lit(key), F.col("kind"), F.col("value"), F.lit(attempt)))
-        drawn = materialize(drawn, "drawn")
-        taken = real.select("kind", F.col("value").alias("surrogate"))
+        drawn = materialize(drawn.select("*", shown("surrogate")), "drawn")
+        taken = real.select("kind", shown("value"))
         if done is not None:
-            taken = taken.unionByName(done.select("kind", "surrogate"))
-        first = drawn.groupBy("kind", "surrogate").agg(F.min("value").alias("winner"))
-        first = first.join(taken.distinct(), ["kind", "surrogate"], "left_anti")
-        drawn = materialize(drawn.join(first, ["kind", "surrogate"], "left"), "drawn")
+            taken = taken.unionByName(done.select("kind", shown("surrogate")))
+        first = drawn.groupBy("kind", "shown").agg(F.min("value").alias("winner"))
+        first = first.join(taken.distinct(), ["kind", "shown"], "left_anti")
+        drawn = materialize(drawn.join(first, ["kind", "shown"], "left"), "drawn")
         won = F.coalesce(F.col("winner") == F.col("value"), F.lit(False))
         good = drawn.filter(won).select("kind", "value", "surrogate")
         done = materialize(good if done is None else done.unionByName(good), "assigned")
@@ -204,19 +273,32 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text``, and a column ``n_entities``."""
-    found = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"),
+    found = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), "text",
                         F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("_raw")).filter(F.size("_raw") > 0)
+    found = found.withColumn("_known", known_names(F.col("_raw")))
+    again = F.regexp_extract_all("text", with_names(F.col("_known")), F.lit(0))
+    found = found.select("_id", "_hash", "_known", F.when(F.size("_known") > 0, again).otherwise(F.col("_raw")).alias("_raw"))
     found = materialize(found.distinct(), "mentions")
-    each = found.select("_id", "_hash", F.posexplode("_raw").alias("_at", "raw"))
-    each = each.withColumn("kind", kind_of(F.col("raw"))).withColumn("value", canonical(F.col("kind"), F.col("raw")))
+    each = found.select("_id", "_hash", "_known", F.posexplode("_raw").alias("_at", "raw"))
+    each = each.withColumn("kind", F.when(F.array_contains("_known", F.col("raw")), F.lit("name")).otherwise(kind_of(F.col("raw"))))
+    each = each.withColumn("ident", canonical(F.col("kind"), F.col("raw"))).withColumn("_known", F.when(F.col("_at") == 0, F.col("_known")))
     each = materialize(each, "mentions")
-    named = each.join(assign(each, key), ["kind", "value"])
-    named = named.select("_id", "_hash", "_at", shaped(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new"))
-    new = named.groupBy("_id", "_hash").agg(F.array_sort(F.collect_list(F.struct("_at", "new"))).alias("_new"))
+    each = each.filter("kind <> 'name'").withColumn("sex", F.lit("n")).unionByName(persons(each.filter("kind = 'name'")))
+    each = materialize(each, "persons")
+    f, m = F.max(F.col("sex") == "f"), F.max(F.col("sex") == "m")
+    sex = F.when(f & ~m, F.lit("f")).when(m & ~f, F.lit("m")).otherwise(F.lit("n"))
+    entities = each.groupBy("kind", "ident").agg(sex.alias("sex"))
+    entities = materialize(entities.select("kind", "ident", F.when(
+        (F.col("kind") == "name") & F.col("ident").startswith(":"), F.concat("sex", "ident")).otherwise(F.col("ident")).alias("value")), "persons")
+    assigned = entities.join(assign(entities, key), ["kind", "value"]).select("kind", "ident", "surrogate")
+    named = each.join(assigned, ["kind", "ident"])
+    named = named.select("_id", "_hash", "_at", "_known", shaped(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new"))
+    new = named.groupBy("_id", "_hash").agg(F.array_sort(F.collect_list(F.struct("_at", "new"))).alias("_new"),
+                                            F.first("_known", ignorenulls=True).alias("_known"))
     new = materialize(new.withColumn("_new", F.transform("_new", lambda x: x["new"])), "replacements")
     hashed, number = free_name(docs, "text_hash"), free_name(docs, "n_entities")
     maybe, same = split_by_ids(docs.withColumn(hashed, F.xxhash64("text")), hashed, new.select("_hash"))
-    between = F.split("text", ANY, -1)
+    between = F.split("text", with_names(F.col("_known")), -1)
     text = F.array_join(F.zip_with(between, "_new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     changed = maybe.join(new, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(hashed) == F.col("_hash")), "left")
     changed = changed.select(

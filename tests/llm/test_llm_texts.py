@@ -218,3 +218,22 @@ def test_surrogates_always_end(spark):
     out = surrogates.assign(spark.createDataFrame(rows, "kind string, value string")).collect()
     drawn = [r.surrogate for r in out if r.kind == "secret"]
     assert len(out) == 60 and len(set(drawn)) == 60 and not set(drawn) & {r.value for r in out}
+
+
+def test_surrogates_of_persons(spark):
+    rows = [(1, "Dr. Anna Smith met Mrs. Smith. Later Anna Smith, and Smith's car. Mrs. Anna Smith left"), (2, "Prof. Dr. Anna Smith and Mr. Smith"),
+            (3, "Mr. Jean-Luc Picard, Dr. John F. Kennedy, Mr. McDonald, Mr. O'Brien's, Dr. Martin Luther King. Kennedy and John Kennedy"),
+            (4, "Mr. Paul Jones, Mr. Carl Jones and Mr. Jones; Smith is no name here")]
+    got = {r.doc_id: r for r in surrogates.replace(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    name, last, again, alone, more = re.fullmatch(r"Dr\. (\w+ \w+) met Mrs\. (\w+)\. Later (\w+ \w+), and (\w+)'s car\. Mrs\. (\w+ \w+) left", got[1].text).groups()
+    assert name == again == more and last == alone == name.split()[1] and name.split()[0] in surrogates.NAMES["latin", "f"]
+    other, mister = re.fullmatch(r"Prof\. Dr\. (\w+ \w+) and Mr\. (\w+)", got[2].text).groups()
+    assert other == name, "one person in all documents"
+    assert mister != last
+    shape = r"Mr\. (\w+) ([A-Z][a-z]+), Dr\. (\w+ \w+), Mr\. [A-Z][a-z][A-Z][a-z]{5}, Mr\. [A-Z]'[A-Z][a-z]{4}'s, Dr\. \w+ [A-Z][a-z]{5} [A-Z][a-z]{3}\. (\w+) and (\w+ \w+)"
+    _, _, john, kennedy, untitled = re.fullmatch(shape, got[3].text).groups()
+    assert untitled == john and kennedy == john.split()[1]
+    assert not re.search("Luc|Picard|Kennedy|Donald|Brien|Luther|King", got[3].text)
+    paul, carl, jones = re.fullmatch(r"Mr\. (\w+ \w+), Mr\. (\w+ \w+) and Mr\. (\w+); Smith is no name here", got[4].text).groups()
+    assert paul != carl and jones not in paul + carl
+    assert [got[i].n_entities for i in (1, 2, 3, 4)] == [5, 2, 7, 3]
