@@ -290,14 +290,24 @@ def read_recall(spark, sf):
     return recall.read_recall(I.stored_recall(spark, sf, every=True), ["als", "online"])
 
 
-@query
-def recall_union(spark, sf):
+def _recall_union(spark, sf, every):
     return recall.recall_union(
-        feed.assign_strategy(I.requests(spark, sf)), I.stored_recall(spark, sf), I.arrived(spark, sf),
+        feed.assign_strategy(I.requests(spark, sf)), I.stored_recall(spark, sf, every), I.arrived(spark, sf),
         recall.hot_articles(I.hot(spark, sf)), feed.strategy_table(spark),
     ).select("user_id", "channel_id", "strategy", "article_id", F.array_join("sources", ",").alias("sources"))
 
 
+@query
+def recall_union(spark, sf):
+    """With stored rows since the split, as its SQL has them; recall_union_all takes them all."""
+    return _recall_union(spark, sf, every=False)
+
+
+@query
+def recall_union_all(spark, sf):
+    return _recall_union(spark, sf, every=True)
+
+
 # -- click-through features, model, evaluation --------------------------------
 
 @query

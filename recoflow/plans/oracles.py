@@ -156,6 +156,11 @@ PARTS: dict[str, str] = {
     "stored_all": """SELECT DISTINCT user_id, channel_id, CASE action WHEN 'collect' THEN 'als'
         WHEN 'click' THEN 'content' ELSE 'online' END AS recall_type, k AS article_id
         FROM log WHERE action IN ('collect', 'click', 'share')""",
+    "recalled_all": """SELECT user_id, channel_id, article_id, list_sort(list(DISTINCT recall_type)) AS sources FROM (
+        SELECT s.user_id, s.channel_id, s.article_id, s.recall_type FROM requests JOIN stored_all s USING (user_id, channel_id)
+        UNION ALL SELECT user_id, channel_id, article_id, 'new' FROM requests JOIN arrived USING (channel_id)
+        UNION ALL SELECT user_id, channel_id, article_id, 'hot' FROM requests JOIN hot USING (channel_id))
+        GROUP BY user_id, channel_id, article_id""",
     # features
     "user_feats": """SELECT user_id, channel_id, list(weight ORDER BY weight) AS weights FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id, channel_id ORDER BY weight) AS rn FROM interests)
@@ -260,6 +265,9 @@ QUERIES: dict[str, str] = {
     "recall_union": """SELECT user_id, channel_id,
         CASE WHEN left(md5(user_id::VARCHAR), 1) IN ('e', 'f') THEN 'Algo-2' ELSE 'Algo-1' END AS strategy,
         article_id, array_to_string(sources, ',') AS sources FROM recalled""",
+    "recall_union_all": """SELECT user_id, channel_id,
+        CASE WHEN left(md5(user_id::VARCHAR), 1) IN ('e', 'f') THEN 'Algo-2' ELSE 'Algo-1' END AS strategy,
+        article_id, array_to_string(sources, ',') AS sources FROM recalled_all""",
     "user_features": """SELECT user_id, channel_id, CAST(len(weights) AS BIGINT) AS n,
         round(list_sum(weights), 5) AS total FROM user_feats""",
     "article_features": """SELECT article_id, channel_id, CAST(11 + len(v) AS BIGINT) AS n,

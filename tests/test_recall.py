@@ -75,3 +75,14 @@ def test_read_recall(spark, rows):
     df = recall.recall_rows(lines(spark, [(1, 1, 5)]), "als").unionByName(
         recall.recall_rows(lines(spark, [(1, 1, 6)]), "online"))
     assert rows(recall.read_recall(df, ["online"])) == [(1, 1, "online", 6)]
+
+
+def test_recall_union_takes_all_stored_rows(spark):
+    """Stored rows before the split are recalled too."""
+    from conftest import SF
+    from recoflow.plans import catalog, inputs
+    early = inputs.stored_recall(spark, SF, every=True).subtract(inputs.stored_recall(spark, SF))
+    assert early.count() > 0
+    got = catalog.QUERIES["recall_union_all"](spark, SF)
+    missing = early.join(got, ["user_id", "channel_id", "article_id"], "left")
+    assert missing.where("sources IS NULL OR NOT array_contains(split(sources, ','), recall_type)").count() == 0
