@@ -111,3 +111,69 @@ def test_pipeline_stages(spark):
         before = docs.count()
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert out.select("doc_id").distinct().count() == before
+
+
+def _first_of_groups(sets):
+    """Positions that are not the first of their group, groups joined at a Jaccard similarity of 0.75 or more."""
+    at = list(range(len(sets)))
+    def root(i):
+        while at[i] != i:
+            i = at[i]
+        return i
+    for j in range(len(sets)):
+        for i in range(j):
+            if sets[i] and sets[j] and 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                at[b] = a
+    return {i for i in range(len(sets)) if root(i) != i}
+
+
+def test_pipeline_stages_equal_brute_force(spark, tmp_path):
+    """Planted copies, shared lines, benchmark passages and toxic texts: the rows of each stage but packing in plain Python."""
+    import corpus_pipeline
+    rng = random.Random(8)
+    new = lambda n, mark="": [mark + "".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(n)]
+    cut = lambda w, n: "\n".join(" ".join(w[i:i + n]) for i in range(0, len(w), n))
+    bad = new(12, "zz")
+    passage = new(30)
+    texts = [cut(new(60), 12) for _ in range(60)]
+    line, near = new(20), new(60)
+    for i in (3, 9, 27):
+        texts[i] += "\n" + " ".join(line)
+    texts[40] += "\n" + " ".join([*line[:-1], "other"])
+    texts += [cut(near, 7), cut(near, 9), cut([*near[:-2], "end"], 11)]
+    texts += [cut(new(20) + passage + new(10), 10), cut(new(400) + passage[:13], 15), " ".join(line)]
+    toxic = [cut(rng.choices(bad, k=40) + new(5), 12) for _ in range(60)]
+    rows = [(2 * i, t, "en", "s", len(t)) for i, t in enumerate(texts)] + [(2 * i + 1, t, "en", "s", len(t)) for i, t in enumerate(toxic)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(r[0], 1, r[0] % 2) for r in rows if r[0] % 10 < 8]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, " ".join(passage))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    grams = lambda t: {tuple(w[i:i + 5]) for w in [t.split()] for i in range(max(1, len(w) - 4))} if t.split() else set()
+    expected = {r[0]: r[1] for r in rows}
+    removed = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialize(stage(spark, docs, str(tmp_path)), "stage")
+        before, ids = dict(expected), sorted(expected)
+        if name == "toxicity":
+            expected = {i: t for i, t in before.items() if i % 2 == 0}
+        elif name == "line dedup":
+            lines = [(i, x) for i in ids for x in before[i].split("\n")]
+            gone = _first_of_groups([grams(x) for _, x in lines])
+            kept = {i: [x for k, (j, x) in enumerate(lines) if j == i and k not in gone] for i in ids}
+            expected = {i: "\n".join(x) for i, x in kept.items() if x}
+        elif name == "n-gram jaccard join":
+            gone = _first_of_groups([grams(before[i]) for i in ids])
+            expected = {i: before[i] for k, i in enumerate(ids) if k not in gone}
+        else:
+            windows = {tuple(passage[k:k + 13]) for k in range(len(passage) - 12)}
+            for i in ids:
+                w = before[i].split()
+                hit = {p for k in range(len(w)) if tuple(w[k:k + 13]) in windows for p in range(k, k + 13)}
+                if hit and 20 * len(hit) >= len(w):
+                    del expected[i]
+        removed.append(len(before) - len(expected))
+        assert {r.doc_id: r.text for r in docs.collect()} == expected, name
+    assert removed == [60, 1, 2, 1]
+    assert {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).select("doc_id").collect()} == set(expected)
