@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from recoflow.llm import decontaminate, jaccard_join, line_dedup, packing, preferences, quality, sharding, surrogates, toxicity, warc
+from recoflow.llm import alignment, decontaminate, jaccard_join, line_dedup, packing, preferences, quality, sharding, surrogates, toxicity, warc
 
 _HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -35,6 +35,7 @@ QUERIES = {name: importable(query) for name, query in {
     "op8_divide_skip_join": jaccard_join.op8_divide_skip_join,
     "op9_line_set_join": line_dedup.op9_line_set_join,
     "op10_surrogates": surrogates.op10_surrogates,
+    "op12_token_alignment": alignment.op12_token_alignment,
 }.items()}
 SQL = {
     "op3_suffix_decontamination": decontaminate.OP3_SQL,
