@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from recoflow.llm import alignment, decontaminate, jaccard_join, line_dedup, packing, preferences, quality, sharding, surrogates, toxicity, treap_search, warc
+from recoflow.llm import alignment, decontaminate, jaccard_join, line_dedup, maxscore, packing, preferences, quality, sharding, surrogates, toxicity, treap_search, warc
 
 _HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -35,6 +35,7 @@ QUERIES = {name: importable(query) for name, query in {
     "op8_divide_skip_join": jaccard_join.op8_divide_skip_join,
     "op9_line_set_join": line_dedup.op9_line_set_join,
     "op10_surrogates": surrogates.op10_surrogates,
+    "op11_maxscore": maxscore.op11_maxscore,
     "op12_token_alignment": alignment.op12_token_alignment,
     "op13_treap_search": treap_search.op13_treap_search,
 }.items()}
@@ -44,5 +45,6 @@ SQL = {
     "op7_line_frequency": quality.OP7_SQL,
     "op8_divide_skip_join": jaccard_join.OP8_SQL,
     "op9_line_set_join": line_dedup.OP9_SQL,
+    "op11_maxscore": maxscore.OP11_SQL,
     "op13_treap_search": treap_search.OP13_SQL,
 }
