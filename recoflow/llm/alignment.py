@@ -23,6 +23,7 @@ Other columns of the input are not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 from typing import NamedTuple
@@ -40,7 +41,7 @@ from recoflow.session import materialize
 
 SLICE_BYTES = 4 << 20
 PRODUCT_BYTES = 1 << 20     # bytes of chunks, or entries of a product, handled at once
-CACHE = 1_000_000           # chunks a worker keeps
+CACHE = 400_000             # chunks a worker keeps, 150 MB
 CACHE_BYTES = 64            # longer chunks are not kept
 BROADCAST = 1 << 19         # id pairs joined by broadcast: about 24 MB
 
@@ -128,29 +129,63 @@ def common_cuts(a_lengths: np.ndarray, b_lengths: np.ndarray) -> tuple[np.ndarra
 
 # --- tokenizers --------------------------------------------------------------
 
-class ByteTokens:
-    """A byte-level tokenizer of the ``tokenizers`` library; ``bytes_of`` holds the bytes of each id."""
+# Fixed value: how byte-level vocabularies of this family split a text into words.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+class _Tokens:
+    """What both tokenizers share: the bytes of each id, their number, and ids as text with what follows them."""
+
+    def _tables(self, bytes_of: dict[int, bytes]):
+        many = max(bytes_of) + 1
+        self.bytes_of = [bytes_of.get(i, b"") for i in range(many)]
+        self.spelled = np.array(self.bytes_of, object)
+        self.lengths = np.array([len(x) for x in self.bytes_of], np.int64)
+        self.digits = np.array([len(str(i)) for i in range(many)], np.int64)
+        self.shown = {end: np.array([b"%d%c" % (i, end) for i in range(many)], object) for end in b",|;"}
+
+
+class ByteTokens(_Tokens):
+    """A byte-level tokenizer of the ``tokenizers`` library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         spec = json.loads(self.tokenizer.to_str())
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         back = {chr(c): b for b, c in _STAND_INS.items()}
-        self.bytes_of = {i: bytes(back.get(c, ord(c) & 255) for c in s) for s, i in vocabulary.items()}
-        self.bytes_of |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        own = {s: i for s, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
+        bytes_of = {i: bytes(back.get(c, ord(c) & 255) for c in s) for s, i in own.items()}
         before = spec["pre_tokenizer"] or {}
-        # Words begin at a space after a visible character; nothing is changed before splitting.
+        # Nothing is changed before splitting, so visible characters and the white space after them part words.
         self.splits = (before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
                        and spec["normalizer"] is None and not spec["model"].get("dropout")
                        and all(t["special"] for t in spec["added_tokens"]))
+        self.quick = self._ranked(spec["model"], own, bytes_of) if self.splits else None
+        self._tables(bytes_of | {t["id"]: t["content"].encode() for t in spec["added_tokens"]})
+
+    def _ranked(self, model: dict, own: dict[str, int], bytes_of: dict[int, bytes]):
+        """The same vocabulary as ranks, which encodes words faster, if ids are in the order of merges and
+        every token is what its own bytes merge to."""
+        import tiktoken
+        order = [own["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if order != list(range(order[0], order[0] + len(order))) or not all(len(self.tokenizer.model.tokenize(s)) == 1 for s in own):
+            return None
+        return tiktoken.Encoding("words", pat_str=SPLIT, mergeable_ranks={v: k for k, v in bytes_of.items()}, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def encode_chunks(self, texts: list[str]) -> list[list[int]]:
+        if self.quick is None:
+            return self.encode(texts)
+        # Beyond Latin letters the two libraries may class new characters differently.
+        out = [self.quick.encode_ordinary(t) if t.isascii() or max(t) < "ɐ" else None for t in texts]
+        others = iter(self.encode([t for t, ids in zip(texts, out) if ids is None]))
+        return [next(others) if ids is None else ids for ids in out]
+
 
-class PieceTokens:
+class PieceTokens(_Tokens):
     """A sentencepiece model. It puts a space before a text, so texts come with it and lose it here."""
 
     def __init__(self, path: str):
@@ -158,13 +193,14 @@ class PieceTokens:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         as_byte = re.compile("<0x([0-9A-F]{2})>")
-        self.bytes_of = {i: bytes([int(m[1], 16)]) if (m := as_byte.fullmatch(p)) else p.replace("▁", " ").encode()
-                         for i, p in enumerate(pieces)}
+        self._tables({i: bytes([int(m[1], 16)]) if (m := as_byte.fullmatch(p)) else p.replace("▁", " ").encode()
+                      for i, p in enumerate(pieces)})
         # A line end before a chunk takes the added space and merges with nothing: the chunk keeps its own.
         self.anchor = self.model.encode("\n")
         joined = b"".join(self.bytes_of[i] for i in self.model.encode(" a  b "))
         self.splits = (not any("\n" in p or re.search("[^▁]▁", p) for p in pieces) and joined == b"  a  b "
                        and [self.bytes_of[i] for i in self.anchor] == [b" ", b"\n"])
+        self.stops = not any(re.search("[A-Za-zÀ-ÖØ-öø-ÿ][.,]", p) for p in pieces)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode([t[1:] for t in texts], num_threads=1)
@@ -176,6 +212,10 @@ class PieceTokens:
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
+_ASCII = np.zeros(256, bool)
+_ASCII[[*range(65, 91), *range(97, 123)]] = True
+_STOP = np.zeros(256, bool)
+_STOP[[44, 46]] = True
 # UTF-8 bytes of white space outside ASCII and of U+2581. (lead, second, third or -1 if two bytes)
 _RARE = [(0xC2, 0x85, -1), (0xC2, 0xA0, -1), (0xE1, 0x9A, 0x80), (0xE2, 0x80, 0xA8), (0xE2, 0x80, 0xA9),
          (0xE2, 0x80, 0xAF), (0xE2, 0x81, 0x9F), (0xE2, 0x96, 0x81), (0xE3, 0x80, 0x80),
@@ -196,47 +236,47 @@ def _unsure(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return marked
 
 
-class Alignment(NamedTuple):
-    """What is known of one text or chunk."""
-    n_a: int
-    n_b: int
-    n_overlaps: int
-    n_shared: int
-    pairs: np.ndarray          # a << 32 | b of each pair that ends together
-    text: bytes                # the ids of all groups
-
-
-NOTHING = Alignment(0, 0, 0, 0, np.zeros(0, np.int64), b"")
-
-
-def aligned(a_ids: list[list[int]], b_ids: list[list[int]], a_bytes: dict, b_bytes: dict) -> list[Alignment]:
-    """Alignments of many texts at once: one block-diagonal product for all of them.
-
-    The tokens of both sides must spell the same bytes.
-    """
-    a = np.array([i for ids in a_ids for i in ids], np.int64)
-    b = np.array([i for ids in b_ids for i in ids], np.int64)
-    la = np.array([len(a_bytes[i]) for i in a.tolist()], np.int64)
-    lb = np.array([len(b_bytes[i]) for i in b.tolist()], np.int64)
-    a_at = np.concatenate([[0], np.cumsum([len(x) for x in a_ids])]).astype(np.int64)
-    b_at = np.concatenate([[0], np.cumsum([len(x) for x in b_ids])]).astype(np.int64)
+def _chunk_begins(data: np.ndarray, stops: bool) -> np.ndarray:
+    """Where a chunk may begin: at a space or line end after a visible character, at a letter after a single
+    line end, and (``stops``) at a full stop or comma after a letter."""
+    begin = np.zeros(len(data), bool)
+    blank = _BLANK[data]
+    begin[1:] = ((data[1:] == 32) | (data[1:] == 10)) & ~blank[:-1]
+    begin[2:] |= _ASCII[data[2:]] & (data[1:-1] == 10) & ~blank[:-2]
+    if stops:
+        letter = _ASCII[data]
+        letter[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        begin[1:] |= _STOP[data[1:]] & letter[:-1]
+    return begin
+
+
+class Alignments(NamedTuple):
+    """Alignments of texts or chunks; pairs are a << 32 | b of tokens that end together."""
+    counts: np.ndarray         # a row each: tokens of A, of B, pairs that end together, that overlap, that share a group
+    pairs: np.ndarray          # of all texts, one after the other
+    texts: list[bytes]         # the ids of all groups
+
+
+def aligned(a_ids: list[list[int]], b_ids: list[list[int]], a: _Tokens, b: _Tokens) -> Alignments:
+    """One block-diagonal product for all texts. Both sides must spell the same bytes."""
+    x, y = (np.fromiter(itertools.chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
+    x_at, y_at = (np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int64) for ids in (a_ids, b_ids))
+    la, lb = a.lengths[x], b.lengths[y]
     overlap = product(incidence(la), transpose(incidence(lb)))[0]
     left, right, cuts = common_cuts(la, lb)
-    n_overlap = np.diff(np.searchsorted(overlap, a_at))
-    a_of, b_of = groups(la, cuts).indices, groups(lb, cuts).indices
-    per_group = np.bincount(a_of, minlength=len(cuts)) * np.bincount(b_of, minlength=len(cuts))
-    low = np.searchsorted(left, a_at)
-    shared = np.concatenate([[0], np.cumsum(per_group)])
-    pairs = a[left] << 32 | b[right]
-    a_text, b_text = [b"%d" % i for i in a.tolist()], [b"%d" % i for i in b.tolist()]
-    a_stop, b_stop = (left + 1).tolist(), (right + 1).tolist()
-    parts, x, y = [], 0, 0
-    for p, q in zip(a_stop, b_stop):
-        parts.append(b",".join(a_text[x:p]) + b"|" + b",".join(b_text[y:q]))
-        x, y = p, q
-    low = low.tolist()
-    return [Alignment(len(a_ids[k]), len(b_ids[k]), int(n_overlap[k]), int(shared[low[k + 1]] - shared[low[k]]),
-                      pairs[low[k]:low[k + 1]], b";".join(parts[low[k]:low[k + 1]])) for k in range(len(a_ids))]
+    x_of, y_of = groups(la, cuts).indices, groups(lb, cuts).indices
+    per_group = np.bincount(x_of, minlength=len(cuts)) * np.bincount(y_of, minlength=len(cuts))
+    low = np.searchsorted(left, x_at)
+    counts = np.stack([np.diff(x_at), np.diff(y_at), np.diff(low), np.diff(np.searchsorted(overlap, x_at)),
+                       np.diff(np.concatenate([[0], np.cumsum(per_group)])[low])], 1)
+    # Ids in the order of groups, those of A first, each with the sign that follows it.
+    parts = np.concatenate([a.shown[ord(",")][x], b.shown[ord(",")][y]])
+    parts[left], parts[len(x) + right] = a.shown[ord("|")][x[left]], b.shown[ord(";")][y[right]]
+    order = np.lexsort((np.repeat([0, 1], [len(x), len(y)]), np.concatenate([x_of, y_of])))
+    size = np.concatenate([a.digits[x], b.digits[y]])[order] + 1
+    stop = np.concatenate([[0], np.cumsum(size)])[x_at + y_at].tolist()
+    text = b"".join(parts[order].tolist())
+    return Alignments(counts, x[left] << 32 | y[right], [text[p:max(p, q - 1)] for p, q in zip(stop[:-1], stop[1:])])
 
 
 class Aligner:
@@ -248,17 +288,30 @@ class Aligner:
         self._clear()
 
     def _clear(self):
-        self.known: dict[int, Alignment | None] = {}
-
-    def _make(self, texts: list[str], whole: bool) -> list[Alignment | None]:
-        """Alignments of texts that begin with their space; None if token bytes do not spell the text."""
-        a_ids = self.a.encode(texts)
-        b_ids = self.b.encode(texts) if whole else self.b.encode_chunks(texts)
-        a_bytes, b_bytes = self.a.bytes_of, self.b.bytes_of
-        good = [b"".join([a_bytes[i] for i in x]) == t.encode() == b"".join([b_bytes[i] for i in y])
-                for t, x, y in zip(texts, a_ids, b_ids)]
-        made = iter(aligned([x for x, g in zip(a_ids, good) if g], [y for y, g in zip(b_ids, good) if g], a_bytes, b_bytes))
-        return [next(made) if g else None for g in good]
+        """Entry 0 of the store stands for a chunk that is not spelled by its tokens."""
+        self.known: dict[int, int] = {}
+        self.texts: list[bytes] = [b""]
+        self.counts, self.begin = np.zeros((1 << 12, 5), np.int32), np.zeros(1 << 12, np.int64)
+        self.pairs, self.used = np.zeros(1 << 12, np.int64), 0
+
+    def _put(self, texts: list[str], whole: bool) -> np.ndarray:
+        """Entries of texts that begin with their space; 0 if token bytes do not spell the text."""
+        if whole:
+            a_ids, b_ids = self.a.encode(texts), self.b.encode(texts)
+        else:
+            a_ids, b_ids = self.a.encode_chunks(texts), self.b.encode_chunks(texts)
+        spell = lambda side, ids: b"".join([side.bytes_of[i] for i in ids])
+        good = np.array([spell(self.a, x) == t.encode() == spell(self.b, y) for t, x, y in zip(texts, a_ids, b_ids)])
+        made = aligned([x for x, g in zip(a_ids, good) if g], [y for y, g in zip(b_ids, good) if g], self.a, self.b)
+        first, many = len(self.texts), len(made.texts)
+        self.counts, self.begin = _room(self.counts, first + many), _room(self.begin, first + many)
+        self.pairs = _room(self.pairs, self.used + len(made.pairs))
+        self.counts[first:first + many] = made.counts
+        self.begin[first:first + many] = self.used + np.cumsum(made.counts[:, 2]) - made.counts[:, 2]
+        self.pairs[self.used:self.used + len(made.pairs)] = made.pairs
+        self.used += len(made.pairs)
+        self.texts += made.texts
+        return np.where(good, first + np.cumsum(good) - 1, 0)
 
     def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids of one whole text under A and B; none if either does not spell it."""
@@ -268,48 +321,61 @@ class Aligner:
         spelled = [b"".join(side.bytes_of[i] for i in ids) for side, ids in ((self.a, a), (self.b, b))]
         return (a, b) if spelled == [(" " + text).encode()] * 2 else ([], [])
 
-    def rows(self, data: np.ndarray, at: np.ndarray) -> list[list[Alignment]]:
-        """The parts of each row's alignment, in order; none for a row without tokens."""
+    def rows(self, data: np.ndarray, at: np.ndarray) -> Alignments:
+        """The rows' alignments. A row without tokens has zeros; ``pairs`` of a row are in text order."""
+        if len(self.texts) > CACHE:
+            self._clear()
         sizes = np.diff(at)
         spaced = np.insert(data[at[0]:at[-1]], at[:-1] - at[0], 32)
         rows = at - at[0] + np.arange(len(at))
-        out: list[list[Alignment]] = [[] for _ in sizes]
         whole = (sizes > 0) & (_unsure(spaced, rows) if self.splits else True)
+        entry, row = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if self.splits:
-            begin = np.zeros(len(spaced), bool)
-            begin[1:] = (spaced[1:] == 32) & ~_BLANK[spaced[:-1]]
+            begin = _chunk_begins(spaced, self.b.stops)
             begin[rows[:-1]] = True
-            skip = np.repeat((sizes == 0) | whole, sizes + 1)
-            begins = np.flatnonzero(begin & ~skip)
-            stops = np.append(np.flatnonzero(begin), len(spaced))
-            stops = stops[np.searchsorted(stops, begins, "right")]
-            parts = self._chunks(spaced, begins, stops)
-            low = np.searchsorted(begins, rows).tolist()
-            for r in np.flatnonzero((sizes > 0) & ~whole).tolist():
-                out[r] = parts[low[r]:low[r + 1]]
-                whole[r] = None in out[r]
-        for r in np.flatnonzero(whole).tolist():
-            made = self._make([bytes(spaced[rows[r]:rows[r + 1]]).decode()], True)[0]
-            out[r] = [made] if made else []
-        return out
-
-    def _chunks(self, data: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> list[Alignment | None]:
+            every = np.flatnonzero(begin)
+            stops = np.append(every[1:], len(spaced))
+            row = np.searchsorted(rows, every, "right") - 1
+            kept = (sizes[row] > 0) & ~whole[row]
+            row = row[kept]
+            entry = self._chunks(spaced, every[kept], stops[kept])
+            whole[row[entry == 0]] = True
+            entry, row = entry[~whole[row]], row[~whole[row]]
+        other = np.flatnonzero(whole)
+        one = [int(self._put([bytes(spaced[rows[r]:rows[r + 1]]).decode()], True)[0]) for r in other]
+        entry, row = np.concatenate([entry, np.array(one, np.int64)]), np.concatenate([row, other])
+        order = np.argsort(row, kind="stable")
+        entry, row = entry[order], row[order]
+        low = np.searchsorted(row, np.arange(len(sizes) + 1))
+        counts = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(self.counts[entry], 0, dtype=np.int64)])
+        size = self.counts[entry, 2].astype(np.int64)
+        stop = np.cumsum(size)
+        pairs = self.pairs[np.arange(stop[-1] if len(stop) else 0) + np.repeat(self.begin[entry] - (stop - size), size)]
+        texts, numbers, places = self.texts, entry.tolist(), low.tolist()
+        return Alignments(np.diff(counts[low], axis=0), pairs,
+                          [b";".join([texts[n] for n in numbers[p:q]]) for p, q in zip(places[:-1], places[1:])])
+
+    def _chunks(self, data: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """The entries of chunks; long ones are not found again."""
         hashed = words.hashes(data, begins, stops, lower=False)
         distinct, first, inverse = np.unique(hashed, return_index=True, return_inverse=True)
-        if len(self.known) + len(distinct) > CACHE:
-            self._clear()
-        keys = distinct.tolist()
-        got = [self.known.get(k, ()) for k in keys]
-        missing = [n for n, x in enumerate(got) if x == ()]
-        size = np.cumsum(stops[first[missing]] - begins[first[missing]]) if missing else np.zeros(0, np.int64)
-        for low, high in words.slices(np.concatenate([[0], size]), PRODUCT_BYTES):
+        keys, known = distinct.tolist(), self.known
+        entry = np.array([known.get(k, -1) for k in keys], np.int64)
+        missing = np.flatnonzero(entry < 0)
+        size = (stops - begins)[first[missing]]
+        for low, high in words.slices(np.concatenate([[0], np.cumsum(size)]), PRODUCT_BYTES):
             part = missing[low:high]
             texts = [bytes(data[b:e]).decode() for b, e in zip(begins[first[part]].tolist(), stops[first[part]].tolist())]
-            for n, text, made in zip(part, texts, self._make(texts, False)):
-                got[n] = made
-                if len(text) <= CACHE_BYTES:
-                    self.known[keys[n]] = made
-        return [got[n] for n in inverse.tolist()]
+            entry[part] = self._put(texts, False)
+        short = missing[size <= CACHE_BYTES]
+        known.update(zip(distinct[short].tolist(), entry[short].tolist()))
+        return entry[inverse]
+
+
+def _room(array: np.ndarray, need: int) -> np.ndarray:
+    if need <= len(array):
+        return array
+    return np.concatenate([array, np.zeros((max(need, 2 * len(array)) - len(array), *array.shape[1:]), array.dtype)])
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -321,6 +387,15 @@ def _aligner(a: str, b: str) -> Aligner:
     return _aligners[a, b]
 
 
+def _summed(pairs: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct pairs of each row, how often, where rows begin) of rows that hold ``sizes`` pairs each."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((pairs, row))
+    row, pairs = row[order], pairs[order]
+    head = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]) | (row[1:] != row[:-1])])) if len(row) else row
+    return pairs[head], np.diff(np.append(head, len(row))), np.searchsorted(row[head], np.arange(len(sizes) + 1))
+
+
 # --- Spark -------------------------------------------------------------------
 
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_overlaps", "n_shared"]
@@ -340,19 +415,14 @@ def align(docs: DataFrame, a: str, b: str) -> DataFrame:
         for batch in batches:
             data, at = words.buffers(batch.column("text"))
             for low, high in words.slices(at, SLICE_BYTES):
-                parts = aligner.rows(data, at[low:high + 1])
-                count = [[sum(p.n_a for p in x), sum(p.n_b for p in x), sum(len(p.pairs) for p in x), sum(len(p.pairs) for p in x),
-                          sum(p.n_overlaps for p in x), sum(p.n_shared for p in x)] for x in parts]
-                shas = [hashlib.sha256(b";".join([p.text for p in x])).hexdigest() if x else "" for x in parts]
-                sets = [np.unique(np.concatenate([p.pairs for p in x]), return_counts=True) if x
-                        else (NOTHING.pairs, NOTHING.pairs) for x in parts]
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s, _ in sets])]).astype(np.int32)
-                column = np.array(count, np.int64).reshape(-1, 6)
+                made = aligner.rows(data, at[low:high + 1])
+                tokens, others, ends_, overlaps, shared = made.counts.T
+                shas = [hashlib.sha256(t).hexdigest() if t else "" for t in made.texts]
+                pairs, times, begin = _summed(made.pairs, ends_)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(low, high - low) for c in ("row", "doc_id")]
-                    + [pa.array(column[:, k]) for k in range(6)] + [pa.array(shas, pa.string())]
-                    + [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([s[k] for s in sets])))
-                       for k in (0, 1)], names=names)
+                    + [pa.array(c) for c in (tokens, others, ends_, ends_, overlaps, shared)] + [pa.array(shas, pa.string())]
+                    + [pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(c)) for c in (pairs, times)], names=names)
 
     source = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     fields = [*source.schema.fields[:2], *[T.StructField(n, T.LongType()) for n in _COUNTS],
@@ -376,8 +446,7 @@ def links(docs: DataFrame, a: str, b: str, kind: str = "overlap") -> DataFrame:
                 x, y = (np.array(ids, np.int64) for ids in aligner.tokens(text))
                 if not len(x):
                     continue
-                la = np.array([len(aligner.a.bytes_of[i]) for i in x.tolist()])
-                lb = np.array([len(aligner.b.bytes_of[i]) for i in y.tolist()])
+                la, lb = aligner.a.lengths[x], aligner.b.lengths[y]
                 cuts = common_cuts(la, lb)[2]
                 left, right = {"overlap": lambda: (incidence(la), incidence(lb)), "end": lambda: (ends(la), ends(lb)),
                                "group": lambda: (groups(la, cuts), groups(lb, cuts))}[kind]()
