@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from recoflow.functions import keys as K
 from recoflow.functions.text import strip_tags
 from recoflow.functions.vectors import total
-from recoflow.operators import actions, articles, ctr, evaluation, feed, keywords, profiles, recall, similar, vectors
+from recoflow.operators import actions, articles, cells, ctr, evaluation, feed, keywords, profiles, recall, similar, vectors
 from recoflow.plans import inputs as I
 from recoflow.session import materialize, scratch_dir
 from recoflow.sources import adapters as A
@@ -202,10 +202,24 @@ def similar_incremental(spark, sf):
     return similar.similar_articles(I.text_vectors(spark, sf), A.vectors(spark, sf), **I.LSH_NEW)
 
 
+@query
+def nearest_top10(spark, sf):
+    return I.nearest_table(spark, sf)
+
+
+@query
+def nearest_indexed(spark, sf):
+    """New article vectors (from text) against a stored index of the known ones."""
+    path, known = scratch_dir(spark, "vector-index"), A.vectors(spark, sf)
+    cells.create_index(spark, path, cells.fit_centres(known))
+    cells.add_to_index(path, known, "2024013100", buckets=8)
+    return cells.search_index(path, I.text_vectors(spark, sf), I.LSH_NEW["threshold"])
+
+
 @query
 def similar_topn(spark, sf):
     ids = A.articles(spark, sf).select("article_id")
-    return similar.similar_topn(ids, I.similar_table(spark, sf), 3)
+    return similar.similar_topn(ids, I.nearest_table(spark, sf), 3)
 
 
 # -- recall -------------------------------------------------------------------
@@ -213,7 +227,7 @@ def similar_topn(spark, sf):
 @query
 def content_recall(spark, sf):
     clicks = I.folded(spark, sf).where("clicked").select("user_id", "channel_id", "article_id")
-    return recall.content_recall(clicks, I.similar_table(spark, sf), I.lines(spark, sf, True))
+    return recall.content_recall(clicks, I.nearest_table(spark, sf), I.lines(spark, sf, True))
 
 
 @query
@@ -557,6 +571,6 @@ def stream_new(spark, sf):
 @query
 def stream_recall(spark, sf):
     clicks = streams.click_stream(A.click_messages(_event_stream(spark, sf)))
-    near = materialize(I.similar_table(spark, sf), "similar")
+    near = materialize(I.nearest_table(spark, sf), "similar")
     path = _run(spark, online.stream_content_recall, clicks, lambda: near)
     return recall.read_recall(spark.read.parquet(path), ["online"]).select("user_id", "channel_id", "article_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoflow.operators import actions, ctr, keywords, profiles, recall, similar, vectors
+from recoflow.operators import actions, cells, ctr, keywords, profiles, recall, similar, vectors
 from recoflow.session import materialize
 from recoflow.sources import adapters as A
 
@@ -87,6 +87,11 @@ def similar_table(spark, sf) -> DataFrame:
     return similar.similar_articles(A.vectors(spark, sf), **LSH)
 
 
+def nearest_table(spark, sf) -> DataFrame:
+    """The nearest articles, exactly."""
+    return cells.nearest_articles(A.vectors(spark, sf), threshold=LSH["threshold"])
+
+
 def lines(spark, sf, before: bool) -> DataFrame:
     """Distinct (user_id, channel_id, article_id) before or from the split day."""
     s = scanned(spark, sf)

@@ -25,9 +25,7 @@ from recoflow.sources import tables
 HOUR = "hour"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, to_path = tables._filesystem(spark, path)
-    return fs.exists(to_path(path))
+exists = tables.exists
 
 
 def _publish(df: DataFrame, path: str, hour: Column) -> DataFrame:

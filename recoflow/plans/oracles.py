@@ -32,14 +32,18 @@ def _buckets(column: str, spec: dict) -> str:
     return "[" + ", ".join("[" + ", ".join(one(r) for r in t) + "]" for t in tables) + "]"
 
 
-def _similar(left: str, right: str, spec: dict, k: int = 10) -> str:
-    shared = " OR ".join(f"a.b[{i}] = b.b[{i}]" for i in range(1, spec["tables"] + 1))
+def _nearest(left: str, right: str, threshold: float, k: int = 10, where: str = "TRUE") -> str:
     return f"""SELECT article_id, channel_id, similar_id, distance, rank FROM (
         SELECT *, row_number() OVER (PARTITION BY article_id, channel_id ORDER BY distance, similar_id) AS rank
         FROM (SELECT a.article_id, a.channel_id, b.article_id AS similar_id,
                      round(list_distance(a.v, b.v), 4) AS distance
               FROM {left} a JOIN {right} b ON a.channel_id = b.channel_id AND a.article_id <> b.article_id
-              WHERE ({shared}) AND list_distance(a.v, b.v) < {spec['threshold']!r})) WHERE rank <= {k}"""
+              WHERE ({where}) AND list_distance(a.v, b.v) < {threshold!r})) WHERE rank <= {k}"""
+
+
+def _similar(left: str, right: str, spec: dict) -> str:
+    shared = " OR ".join(f"a.b[{i}] = b.b[{i}]" for i in range(1, spec["tables"] + 1))
+    return _nearest(left, right, spec["threshold"], where=shared)
 
 
 def _served_channel() -> str:
@@ -118,7 +122,7 @@ PARTS: dict[str, str] = {
     # vectors
     "vectors": "SELECT vec_id AS article_id, label AS channel_id, embedding::DOUBLE[] AS v FROM embeddings",
     "hashed": f"SELECT article_id, channel_id, v, {_buckets('v', I.LSH)} AS b FROM vectors",
-    "near": _similar("hashed", "hashed", I.LSH),
+    "near": _nearest("vectors", "vectors", I.LSH["threshold"]),
     "term_vectors": """SELECT keyword, v FROM idf
         JOIN vectors ON article_id = idx % (SELECT count(*) FROM vectors)""",
     "weighted_vectors": """SELECT DISTINCT article_id, channel_id,
@@ -240,7 +244,9 @@ QUERIES: dict[str, str] = {
         GROUP BY channel_id, keyword HAVING sum(tf) >= 3""",
     "article_vector_mean": f"""SELECT article_id, channel_id, CAST(len(v) AS BIGINT) AS dims,
         round(v[1], 6) AS first, round(v[{I.DIM}], 6) AS last, round(list_sum(v), 5) AS total FROM article_mean""",
-    "similar_top10": "SELECT * FROM near",
+    "similar_top10": _similar("hashed", "hashed", I.LSH),
+    "nearest_top10": "SELECT * FROM near",
+    "nearest_indexed": _nearest("article_mean", "vectors", I.LSH_NEW["threshold"]),
     "similar_incremental": _similar("hashed_new", "hashed_known", I.LSH_NEW),
     "similar_topn": """SELECT article_id, similar_id, distance, rank FROM near
         WHERE rank <= 3 AND article_id IN (SELECT article_id FROM docs)""",
