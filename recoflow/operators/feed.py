@@ -108,8 +108,43 @@ def exclude_served(candidates: DataFrame, served: DataFrame) -> DataFrame:
         mixed, ["user_id", "article_id"], "left_anti")
 
 
-def split_feed(ranked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(feed, waiting): the first article_num of each request, and the rest."""
+def request_slices(requests: DataFrame) -> DataFrame:
+    """(request key, first, last): the ranks each request takes of its line's list.
+
+    Requests of a line are answered one after the other in time order, so the
+    second one goes on where the first one stopped. Equal requests are one.
+    """
+    in_order = Window.partitionBy(*LINE).orderBy("time_stamp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.sum("article_num").over(in_order)
+    return requests.dropDuplicates(REQUEST_KEY).select(
+        *REQUEST_KEY, (last - F.col("article_num") + 1).cast("long").alias("first"), last.cast("long").alias("last"))
+
+
+def _slots(requests: DataFrame, cap: int | None = None) -> DataFrame:
+    """(request key, first, n): a row per rank, up to ``cap`` if given, that a request takes."""
+    slices = request_slices(requests)
+    if cap is not None:
+        slices = slices.withColumn("last", F.least("last", F.lit(cap).cast("long")))
+    return slices.where(F.col("first") <= F.col("last")).select(
+        *REQUEST_KEY, "first", F.explode(F.sequence("first", "last")).alias("n"))
+
+
+def split_feed(ranked: DataFrame, requests: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(feed, waiting): the first article_num of each request, and the rest.
+
+    With ``requests`` the ranked list is that of a line (of any one request of it)
+    and all requests of the line take their slices of it in time order. ``cap`` is
+    the length of a ranked list at most.
+    """
+    if requests is not None:
+        ranks = ranked.select(*LINE, F.col("rank").cast("long").alias("n"), "article_id")
+        taken = ranks.join(_slots(requests), [*LINE, "n"], "left")
+        total = request_slices(requests).groupBy(*LINE).agg(F.max("last").alias("total"))
+        feed = taken.where("time_stamp is not null").select(
+            *LINE, F.col("time_stamp").alias("request_ts"), (F.col("n") - F.col("first") + 1).alias("pos"), "article_id")
+        waiting = taken.where("time_stamp is null").join(total, LINE).select(
+            *LINE, (F.col("n") - F.col("total")).alias("pos"), "article_id")
+        return feed, waiting
     first = F.col("rank") <= F.col("article_num")
     feed = ranked.where(first).select(
         *LINE, F.col("time_stamp").alias("request_ts"), F.col("rank").alias("pos"), "article_id")
@@ -136,6 +171,9 @@ def serve_waiting(requests: DataFrame, waiting: DataFrame, cached: DataFrame | N
                   cap: int = 100) -> DataFrame:
     """(user_id, channel_id, time_stamp, pos, article_id, state) of the leftovers.
 
+    ``pos`` counts within the line. Several requests of a line take one slice
+    after the other, in time order; no article is served twice.
+
     A line (user, channel) with a cache is served from it; otherwise up to
     ``cap`` waiting articles move to the cache first. ``state`` tells what
     becomes of each article: 'served' in the answer, 'cached', or still
@@ -153,11 +191,13 @@ def serve_waiting(requests: DataFrame, waiting: DataFrame, cached: DataFrame | N
     rest = rows.join(opened.drop("n"), [*LINE, "level", "pos", "article_id"], "left_anti").select(
         *LINE, "article_id", F.col("pos").cast("long").alias("pos"),
         F.when(F.col("level") == 0, "cached").otherwise("waiting").alias("state"))
-    asked = requests.select(*REQUEST_KEY, "article_num")
-    served = opened.join(asked, LINE).select(
-        *REQUEST_KEY, F.col("n").cast("long").alias("pos"), "article_id",
-        F.when(F.col("n") <= F.col("article_num"), "served").otherwise("cached").alias("state"))
-    return served.unionByName(rest.join(asked.drop("article_num"), LINE))
+    # An article goes to the one request whose slice it falls into, any other row to the line's last request.
+    newest = requests.groupBy(*LINE).agg(F.max("time_stamp").alias("newest"))
+    taken = opened.withColumn("n", F.col("n").cast("long")).join(_slots(requests, cap), [*LINE, "n"], "left").join(newest, LINE)
+    served = taken.select(
+        *LINE, F.coalesce("time_stamp", "newest").alias("time_stamp"), F.col("n").alias("pos"), "article_id",
+        F.when(F.col("time_stamp").isNotNull(), "served").otherwise("cached").alias("state"))
+    return served.unionByName(rest.join(newest.withColumnRenamed("newest", "time_stamp"), LINE))
 
 
 def track_payload(feed: DataFrame) -> DataFrame:

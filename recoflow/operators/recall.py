@@ -84,7 +84,7 @@ def with_channel(recall: DataFrame, articles: DataFrame) -> DataFrame:
 
 def exclude_history(recall: DataFrame, history: DataFrame) -> DataFrame:
     """Drop articles already recalled for the user in the channel."""
-    return recall.join(history.select(*RECALL_KEYS), RECALL_KEYS, "left_anti")
+    return recall.join(history.select(*RECALL_KEYS), RECALL_KEYS, "left_anti").select(*recall.columns)
 
 
 def content_recall(clicks: DataFrame, similar: DataFrame, history: DataFrame | None = None,

@@ -457,6 +457,15 @@ def serve_waiting(spark, sf):
     return feed.serve_waiting(I.requests(spark, sf), waiting, cached, cap=3)
 
 
+@query
+def serve_lines(spark, sf):
+    """A request per user, channel and day: those of one line share its leftovers."""
+    log = I.scanned(spark, sf)
+    asked = log.select("user_id", "channel_id", I.millis(F.col("action_time").cast("date")).alias("time_stamp")).distinct()
+    waiting = I.lines(spark, sf, True).union(I.lines(spark, sf, False)).distinct().withColumn("pos", F.col("article_id"))
+    return feed.serve_waiting(asked.withColumn("article_num", F.lit(I.ARTICLE_NUM)), waiting, cap=5)
+
+
 @query
 def last_served(spark, sf):
     return feed.last_served(I.served(spark, sf, every=True))

@@ -316,6 +316,19 @@ QUERIES: dict[str, str] = {
                       WHERE (user_id, channel_id, request_ts) IN (
                         SELECT (user_id, channel_id, max(request_ts)) FROM served GROUP BY user_id, channel_id))))
         JOIN requests USING (user_id, channel_id)""",
+    "serve_lines": f"""WITH asks AS (SELECT *, max(ts) OVER (PARTITION BY user_id, channel_id) AS newest,
+            {I.ARTICLE_NUM} * (row_number() OVER (PARTITION BY user_id, channel_id ORDER BY ts) - 1) AS before
+          FROM (SELECT DISTINCT user_id, channel_id,
+            CAST(date_diff('day', DATE '1970-01-01', CAST(action_time AS DATE)) AS BIGINT) * 86400000 AS ts FROM log)),
+          list AS (SELECT *, row_number() OVER (PARTITION BY user_id, channel_id ORDER BY article_id) AS n
+            FROM (SELECT * FROM earlier UNION SELECT * FROM later)),
+          lines AS (SELECT DISTINCT user_id, channel_id, newest FROM asks)
+        SELECT l.user_id, l.channel_id, coalesce(a.ts, newest) AS time_stamp,
+          CASE WHEN n <= 5 THEN n ELSE article_id END AS pos, article_id,
+          CASE WHEN a.ts IS NOT NULL THEN 'served' WHEN n <= 5 THEN 'cached' ELSE 'waiting' END AS state
+        FROM list l JOIN lines USING (user_id, channel_id) LEFT JOIN (SELECT user_id, channel_id, ts, before FROM asks) a
+          ON a.user_id = l.user_id AND a.channel_id = l.channel_id AND n <= 5
+          AND n > before AND n <= before + {I.ARTICLE_NUM}""",
     "last_served": "SELECT user_id, channel_id, max(request_ts) AS last_ts FROM served_all GROUP BY user_id, channel_id",
     "refresh_or_history": """SELECT r.user_id, r.channel_id, coalesce(s.last_ts, 0) AS last_ts,
           CASE WHEN coalesce(s.last_ts, 0) < 1704844800000 THEN 'refresh' ELSE 'history' END AS route

@@ -112,6 +112,27 @@ def test_serve_waiting(spark, rows):
         (2, 901, "served"), (2, 902, "served"), (2, 903, "cached")]
 
 
+def test_requests_of_a_line_share_its_leftovers(spark, rows):
+    req = requests(spark, [(1, 4, 2, 99), (1, 4, 2, 50), (1, 4, 2, 50), (1, 4, 1, 120), (2, 4, 3, 10), (2, 4, 3, 20), (3, 4, 2, 5)])
+    wait = spark.createDataFrame([(u, 4, p, 100 * u + p) for u in (1, 2) for p in range(1, 7)],
+                                 "user_id long, channel_id int, pos int, article_id long")
+    out = sorted(rows(feed.serve_waiting(req, wait, cap=5).select("user_id", "time_stamp", "pos", "article_id", "state")))
+    assert out == [
+        (1, 50, 1, 101, "served"), (1, 50, 2, 102, "served"), (1, 99, 3, 103, "served"), (1, 99, 4, 104, "served"),
+        (1, 120, 5, 105, "served"), (1, 120, 6, 106, "waiting"),
+        (2, 10, 1, 201, "served"), (2, 10, 2, 202, "served"), (2, 10, 3, 203, "served"), (2, 20, 4, 204, "served"),
+        (2, 20, 5, 205, "served"), (2, 20, 6, 206, "waiting")]
+
+
+def test_requests_of_a_line_share_a_computed_list(spark, rows):
+    req = requests(spark, [(1, 4, 2, 99), (1, 4, 3, 50), (2, 4, 4, 7)])
+    ranked = spark.createDataFrame([(1, 4, 50, 3, a, r) for r, a in enumerate((10, 20, 30, 40, 50, 60, 70), 1)] + [(2, 4, 7, 4, 10, 1)],
+                                   "user_id long, channel_id int, time_stamp long, article_num int, article_id long, rank long")
+    first, rest = feed.split_feed(ranked, req)
+    assert sorted(rows(first)) == [(1, 4, 50, 1, 10), (1, 4, 50, 2, 20), (1, 4, 50, 3, 30), (1, 4, 99, 1, 40), (1, 4, 99, 2, 50), (2, 4, 7, 1, 10)]
+    assert rows(rest) == [(1, 4, 1, 60), (1, 4, 2, 70)]
+
+
 def test_track_payload(spark):
     lists = spark.createDataFrame([(7, 4, 99, "Algo-1", [5, 6], "refresh"), (7, 4, 50, "Algo-1", [5], "history")],
                                   "user_id long, channel_id int, time_stamp long, strategy string, "

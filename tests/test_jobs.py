@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from recoflow.operators import cells
 from recoflow.plans import jobs
 from recoflow.schema import USER_ACTION
 from recoflow.sources import tables
@@ -31,7 +32,7 @@ def test_jobs_end_to_end(spark, tmp_path, rows):
     axis = {"spark": 0, "cluster": 0, "shuffle": 0, "executor": 0, "garden": 1, "rose": 1, "flower": 1}
     words = spark.createDataFrame([(w, [float(a == 0), float(a == 1)]) for w, a in axis.items()],
                                   "keyword string, vector array<double>")
-    options = {"dim": 2, "threshold": 5.0, "bucket_length": 50.0, "tables_per_hash": 3, "buckets": 4}
+    options = {"threshold": 5.0, "buckets": 4}
     jobs.update_articles(*site(spark, [1, 2, 3, 4], 9), root, at(10), words, **options)
     jobs.update_articles(*site(spark, [5], 10), root, at(11), words, **options)
     names = ["article_data", "tfidf", "textrank", "article_profile", "article_vector"]
@@ -42,6 +43,9 @@ def test_jobs_end_to_end(spark, tmp_path, rows):
     jobs.update_articles(*site(spark, [1], 11), root, at(12), words, **options)
     assert [len(a) for a in state()[:5]] == [len(b) for b in before[:5]], "article 1 was published again"
     assert jobs.current(spark, f"{root}/article_data").count() == 5
+    jobs.update_articles(*site(spark, [5], 10), root, at(11), words, **options)
+    held = rows(cells.indexed(spark, jobs.vector_index(spark, root)))
+    assert held == rows(jobs.current(spark, f"{root}/article_vector").select("article_id", "channel_id", "vector")), "an old hour again"
     near = {(r["article_id"], r["rank"]): r["similar_id"] for r in jobs.similar_rows(spark, root).collect()}
     assert near[(5, 1)] in (1, 2) and near[(3, 1)] == 4 and near[(4, 1)] == 3
 
@@ -86,3 +90,18 @@ def test_jobs_end_to_end(spark, tmp_path, rows):
     back = at_time(1000)
     assert {(u, a["article_id"]) for u, r in back.items() for a in json.loads(r.recommends)} == first, "paging back"
     assert {(r.param, r.next_ts) for r in back.values()} == {("", 0)}
+
+    # Three requests of a line in one run: leftovers, then one computed list, nothing twice.
+    many = spark.createDataFrame([(1, 3, 1, 3000 + i) for i in range(3)] + [(2, 3, 1, 3000)],
+                                 "user_id long, channel_id int, article_num int, time_stamp long")
+    answers = {(r.user_id, r.time_stamp): r for r in serve(many).collect()}
+    assert len(answers) == 4 and answers[1, 3001].next_ts == 3000 and answers[1, 3002].next_ts == 3001
+    history = tables.table(spark, f"{root}/served")
+    assert history.count() == history.select("user_id", "channel_id", "article_id").distinct().count()
+    # A run that broke after the history was written: what it served is waiting no more.
+    waiting = tables.table(spark, f"{root}/waiting")
+    gone = history.select("user_id", "channel_id", F.lit(1).cast("long").alias("pos"), "article_id")
+    tables.replace(waiting.unionByName(gone.select(*[F.col(c).cast(t) for c, t in waiting.dtypes])), f"{root}/waiting")
+    at_time(4000)
+    history = tables.table(spark, f"{root}/served")
+    assert history.count() == history.select("user_id", "channel_id", "article_id").distinct().count()

@@ -118,3 +118,28 @@ def test_merge_filter_reaches_the_scan(spark, news, tmp_path, capsys):
     plan.explain("formatted")
     text = capsys.readouterr().out
     assert "GreaterThanOrEqual(review_time" in text and "EqualTo(status,2)" in text
+
+
+def test_replace_that_broke_between_its_renames(spark, tmp_path, rows):
+    """The old table is put back, by readers that ask for it and by the next replace."""
+    for reads in (True, False):
+        path = tmp_path / f"t{reads}"
+        tables.replace(spark.createDataFrame([(1,)], "a int"), str(path))
+        path.rename(f"{path}.old")
+        if reads:
+            assert tables.exists(spark, str(path)) and rows(tables.table(spark, str(path))) == [(1,)]
+        else:
+            tables.restore(spark, str(path))
+            tables.replace(tables.table(spark, str(path)).unionByName(spark.createDataFrame([(2,)], "a int")), str(path))
+            assert rows(tables.table(spark, str(path))) == [(1,), (2,)]
+    assert not tables.exists(spark, str(tmp_path / "never"))
+
+
+def test_lookup_reads_the_buckets_of_its_keys(spark, tmp_path, rows):
+    path = str(tmp_path / "store")
+    store = spark.createDataFrame([(i, i * 10, 1) for i in range(50)], "k int, v int, t int")
+    tables.merge_store(store, path, ["k"], "t", buckets=8)
+    tables.merge_store(spark.createDataFrame([(3, 99, 2)], "k int, v int, t int"), path, ["k"], "t", buckets=8)
+    wanted = spark.createDataFrame([(3,), (7,), (500,)], "k int")
+    assert rows(tables.lookup(wanted, path, ["k"])) == [(3, 99, 2), (7, 70, 1)]
+    assert tables.lookup(wanted.limit(0), path, ["k"]).count() == 0
