@@ -60,9 +60,21 @@ def new_article_messages(events: DataFrame) -> DataFrame:
         F.col("ts").cast("timestamp").alias("timestamp"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt by ``key`` to all cores, if fewer tasks of its scan have rows.
+
+    For costly expressions over a small file: its text crosses the wire once. A
+    scan with enough tasks, as any large table has, stays as it is. Counting the
+    tasks reads no column.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = df.select(F.spark_partition_id().alias("task")).distinct().count()
+    return df if tasks >= cores else df.repartition(cores, key)
+
+
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """``documents`` as (article_id, channel_id, sentence)."""
-    return read(spark, sf, "documents").select(
+    return spread(read(spark, sf, "documents"), "doc_id").select(
         F.col("doc_id").alias("article_id"),
         F.regexp_replace("source", "[^0-9]", "").cast("int").alias("channel_id"),
         F.col("text").alias("sentence"))
