@@ -14,7 +14,8 @@ name's gender comes from any mention with a gendered title. A surname alone afte
 a title is, within its document, the one full name there that has it and does
 not have the other gender; with none or several it is a person of its own. Names
 and surnames that a document has after a title are replaced there without one
-too. Given names alone and inflected names are not found.
+too. Given names alone and inflected names are not found. A name has at most
+``PARTS`` parts; of a longer row of capitalised words the first ones are taken.
 
 Surrogates are checked: one that another entity got too, or that is itself an
 entity of the corpus, is drawn again with the next attempt number, until all are
@@ -51,10 +52,13 @@ MALE = "Mr|Monsieur|Herr|Señor|Sr|Signor|Г-н"
 NEUTRAL = "Dr|Prof|Mx"
 TITLE = rf"(?:{FEMALE}|{MALE}|{NEUTRAL})"
 PARTICLES = "(?:de|da|do|dos|das|di|del|della|der|den|du|la|van|von|ter|ten|zu|zum|bin|ibn|af|av)"
-WORD = rf"(?!{TITLE}\b)\p{{Lu}}[\p{{L}}\p{{M}}]*(?:['’]\p{{Lu}}[\p{{L}}\p{{M}}]*|-\p{{L}}[\p{{L}}\p{{M}}]*)*"
-# The kinds in the order they are tried, without groups that capture.
+WORD = rf"(?!{TITLE}\b)\p{{Lu}}[\p{{L}}\p{{M}}]*+(?:['’]\p{{Lu}}[\p{{L}}\p{{M}}]*+|-\p{{L}}[\p{{L}}\p{{M}}]*+)*+"
+LOCAL, LABEL = "[A-Za-z0-9_%+-]", "[A-Za-z0-9-]"
+PARTS = 16                 # parts of a name at most: the first of a longer row of capitalised words
+# The kinds in the order they are tried, without groups that capture. Repeated groups are possessive
+# or bounded, as others cost stack, and an e-mail address is tried once per run of its characters.
 PATTERNS = {
-    "email": r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": rf"(?<!{LOCAL})(?<!{LOCAL}\.){LOCAL}++(?:\.{LOCAL}++)*+@{LABEL}++(?:\.{LABEL}++){{0,126}}\.[A-Za-z]{{2,}}",
     "secret": r"(?<=(?:password|passwd|secret|token|api_key)[=:])[^\s,;]{6,}",
     "access": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
@@ -62,7 +66,7 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|\+\d{8,15}(?!\d)",
-    "name": rf"\b(?:{TITLE}\.? )+(?:(?:{WORD}|(?:\p{{Lu}}\.)+|{PARTICLES}) )*(?=\p{{Lu}}[\p{{L}}\p{{M}}'’]){WORD}",
+    "name": rf"\b(?:{TITLE}\.? )++(?:(?:{WORD}|(?:\p{{Lu}}\.)++|{PARTICLES}) ){{0,{PARTS - 1}}}(?=\p{{Lu}}[\p{{L}}\p{{M}}'’]){WORD}",
 }
 ANY = "|".join(PATTERNS.values())
 # What a character is drawn from, by its sort; the first that fits. Others, the separators, stay.
