@@ -54,6 +54,7 @@ TITLE = rf"(?:{FEMALE}|{MALE}|{NEUTRAL})"
 PARTICLES = "(?:de|da|do|dos|das|di|del|della|der|den|du|la|van|von|ter|ten|zu|zum|bin|ibn|af|av)"
 WORD = rf"(?!{TITLE}\b)\p{{Lu}}[\p{{L}}\p{{M}}]*+(?:['’]\p{{Lu}}[\p{{L}}\p{{M}}]*+|-\p{{L}}[\p{{L}}\p{{M}}]*+)*+"
 LOCAL, LABEL = "[A-Za-z0-9_%+-]", "[A-Za-z0-9-]"
+TITLES = 8                 # titles before a name at most
 PARTS = 16                 # parts of a name at most: the first of a longer row of capitalised words
 # The kinds in the order they are tried, without groups that capture. Repeated groups are possessive
 # or bounded, as others cost stack, and an e-mail address is tried once per run of its characters.
@@ -66,7 +67,7 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|\+\d{8,15}(?!\d)",
-    "name": rf"\b(?:{TITLE}\.? )++(?:(?:{WORD}|(?:\p{{Lu}}\.)++|{PARTICLES}) ){{0,{PARTS - 1}}}(?=\p{{Lu}}[\p{{L}}\p{{M}}'’]){WORD}",
+    "name": rf"\b(?:{TITLE}\.? ){{1,{TITLES}}}+(?:(?:{WORD}|(?:\p{{Lu}}\.)++|{PARTICLES}) ){{0,{PARTS - 1}}}(?=\p{{Lu}}[\p{{L}}\p{{M}}'’]){WORD}",
 }
 ANY = "|".join(PATTERNS.values())
 # What a character is drawn from, by its sort; the first that fits. Others, the separators, stay.
