@@ -577,6 +577,16 @@ def stream_new(spark, sf):
         "channel_id", "article_id", F.col("arrived").cast("timestamp_ntz").alias("arrived"))
 
 
+@query
+def stream_recall_state(spark, sf):
+    """The same recalls with the recalled keys in the state store."""
+    clicks = streams.click_stream(A.click_messages(_event_stream(spark, sf)))
+    near = materialize(I.nearest_table(spark, sf), "similar")
+    found = _run(spark, online.stream_found, clicks, lambda: near)
+    path = _run(spark, lambda source, *args, once: online.stream_first_recalls(spark, source, *args, once=once), found)
+    return recall.read_recall(spark.read.parquet(path), ["online"]).select("user_id", "channel_id", "article_id")
+
+
 @query
 def stream_recall(spark, sf):
     clicks = streams.click_stream(A.click_messages(_event_stream(spark, sf)))

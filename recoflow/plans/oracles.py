@@ -370,6 +370,8 @@ QUERIES: dict[str, str] = {
     "stream_new": "SELECT channel_id, article_id, arrived FROM arrived",
     "stream_recall": """SELECT DISTINCT l.user_id, l.channel_id, n.similar_id AS article_id
         FROM log l JOIN near n ON n.article_id = l.k WHERE l.action IN ('click', 'collect', 'share')""",
+    "stream_recall_state": """SELECT DISTINCT l.user_id, l.channel_id, n.similar_id AS article_id
+        FROM log l JOIN near n ON n.article_id = l.k WHERE l.action IN ('click', 'collect', 'share')""",
 }
 
 

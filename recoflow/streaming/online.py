@@ -112,6 +112,58 @@ def stream_content_recall(clicks: DataFrame, similar: Callable[[], DataFrame], p
     return _start(clicks.writeStream.outputMode("append").foreachBatch(save), checkpoint, once)
 
 
+FOUND = "user_id long, channel_id int, article_id long, action_time timestamp, batch long"
+
+
+def stream_found(clicks: DataFrame, similar: Callable[[], DataFrame], path: str, checkpoint: str,
+                 history: Callable[[], DataFrame] | None = None, once: bool = False, k: int = 10) -> StreamingQuery:
+    """First of two steps of recall with state: similar articles of each batch's clicks.
+
+    (user_id, channel_id, article_id, action_time, batch) rows, each user's
+    article once a batch, with its last action. Nothing written before is read, so
+    a batch takes the same time however large the table is. ``similar`` and
+    ``history`` are called for every batch; a repeated batch overwrites its partition.
+    """
+    def save(batch: DataFrame, batch_id: int) -> None:
+        near = similar().where(F.col("rank") <= k).select("article_id", "similar_id")
+        acted = batch.where(F.col("action").isin("click", "collect", "share")).select(
+            "user_id", "channel_id", F.col("article_ids").try_cast("long").alias("article_id"), "action_time")
+        found = acted.groupBy("user_id", "channel_id", "article_id").agg(F.max("action_time").alias("action_time"))
+        found = (found.join(near, "article_id").groupBy("user_id", "channel_id", F.col("similar_id").alias("article_id"))
+                 .agg(F.max("action_time").alias("action_time")))
+        if history is not None:
+            found = exclude_history(found, history())
+        found = found.select("user_id", "channel_id", "article_id", "action_time", F.lit(batch_id).cast("long").alias("batch"))
+        (materialize(found, "found").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(path))
+
+    return _start(clicks.writeStream.outputMode("append").foreachBatch(save), checkpoint, once)
+
+
+def stream_first_recalls(spark: SparkSession, found: str, path: str, checkpoint: str, once: bool = False,
+                         ttl: str | None = None) -> StreamingQuery:
+    """Second step: each user's article once, by keys in the state store.
+
+    The state holds a key per user, channel and article, spread over the shuffle
+    partitions; with ``ttl`` a key leaves it when event time has moved on by that
+    much, and may be recalled again. Rows lie in the partition of their batch.
+    """
+    # A repeated batch of the first step replaces its files by the same rows.
+    rows = spark.readStream.schema(FOUND).option("ignoreMissingFiles", "true").parquet(found)
+    keys = ["user_id", "channel_id", "article_id"]
+    if ttl:
+        rows = rows.withWatermark("action_time", ttl).dropDuplicatesWithinWatermark(keys)
+    else:
+        rows = rows.dropDuplicates(keys)
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        out = batch.select("user_id", "channel_id", F.lit("online").alias("recall_type"), "article_id",
+                           F.lit(batch_id).cast("long").alias("batch"))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+
+    return _start(rows.writeStream.outputMode("append").foreachBatch(save), checkpoint, once)
+
+
 def _exists(spark, path: str) -> bool:
     fs, to_path = tables._filesystem(spark, path)
     return fs.exists(to_path(path)) and any(

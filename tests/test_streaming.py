@@ -147,3 +147,23 @@ def test_two_queries_read_one_source(spark, rows, tmp_path, inbox):
         q.awaitTermination()
     assert rows(tables.read_store(spark, at("hot")).select("article_id", "score")) == [(5, 2)]
     assert rows(spark.read.parquet(at("recall")).select(*KEYS)) == [(1, 18, 6), (2, 18, 6)]
+
+
+def test_recall_with_state_over_restarts(spark, rows, tmp_path, inbox):
+    """Each key once over batches and restarts; a time to live lets keys go."""
+    put, stream = inbox
+    at = lambda name: str(tmp_path / name)
+    similar = spark.createDataFrame([(5, 6, 1), (5, 7, 2), (5, 8, 11), (9, 7, 1)], "article_id long, similar_id long, rank int")
+    history = spark.createDataFrame([(2, 18, 6)], "user_id long, channel_id int, article_id long")
+
+    def run(out="recall", **ttl):
+        online.stream_found(streams.click_stream(stream()), lambda: similar, at("found"), at("c1"), lambda: history,
+                            once=True).awaitTermination()
+        online.stream_first_recalls(spark, at("found"), at(out), at(f"c-{out}"), once=True, **ttl).awaitTermination()
+        return rows(spark.read.parquet(at(out)).select(*KEYS))
+
+    put("a", [line("click", "1", "5"), line("share", "1", "5"), line("read", "1", "9"), line("click", "2", "5")])
+    assert run() == [(1, 18, 6), (1, 18, 7), (2, 18, 7)]
+    put("b", [line("click", "1", "9"), line("collect", "3", "9"), line("click", "1", "5").replace("2021-06-05", "2021-07-05")])
+    assert run() == [(1, 18, 6), (1, 18, 7), (2, 18, 7), (3, 18, 7)]
+    assert (1, 18, 6) in run("short", ttl="1 day")
