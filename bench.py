@@ -21,6 +21,7 @@ BENCH_QUERIES = [
     "user_features", "article_features", "ctr_samples", "auc_accuracy", "feed_split",
     "serve_waiting", "history_page", "track_payload", "latest_upsert", "stream_hot", "stream_recall",
     "similar_incremental", "wait_split", "als_recall", "ctr_scores", "word2vec_vocabulary",
+    "nearest_top10", "nearest_indexed", "serve_lines", "stream_recall_state",
 ]
 
 
