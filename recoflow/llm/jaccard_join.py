@@ -11,10 +11,12 @@ the same for all documents, which is what makes the join exact; how well the
 table knows the lengths only decides how many candidates there are.
 
 Groups of copies cost no pairs: equal word sequences become one class first, and
-of each short list only neighbours are compared at first. Lists whose documents
-that round has joined in one component are done; only pairs across components
-are compared after that, all of them. Lists of frequent shingles are dealt to
-several tasks.
+of each short list only neighbours are compared at first. Then each text left
+apart from others of its lists meets the hub of a list, the member in the longest
+lists: of a group of near copies that is the text they were made from. Lists whose
+documents are in one component are done after each round; only pairs across
+components are compared at the end, all of them. Rounds decide cost, never the
+result. Lists of frequent shingles are dealt to several tasks.
 
 Defined results: null and wordless texts have an empty set and no links; rows
 with equal id and text are one document; an id with several texts links each of
@@ -38,6 +40,8 @@ SHINGLE = 5
 FREQUENT = 1 << 21          # shingles with a known list length: 32 MB at most
 SPLIT = 512                 # postings of a frequent shingle that one task takes
 SLICE_BYTES = 4 << 20
+HUB_ROUNDS = 4              # rounds that compare each text with one hub
+HUB_GAIN = 64               # a round that links less than this part of the linked texts is the last of them
 BEST_ROUNDS = 3             # rounds that try each text's best pair before all that are left
 
 
@@ -236,11 +240,23 @@ def linked(postings: DataFrame, texts: DataFrame, shipped) -> DataFrame:
              .select("a", F.col("doc_id").alias("b")))
     joined = materialize(components(_similar(some, first, shipped)), "joined")
 
-    # second round: whatever is left in one list but not in one component
-    at = lists.select("token", "doc_id", "n", "pos").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    at = materialize(at.withColumn("component", F.coalesce("component", "doc_id")), "placed")
-    mixed = at.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    at = at.join(mixed.select("token"), "token")
+    # hub rounds: each text left apart meets the hub of one of its lists, the member in the longest lists
+    at, weights = lists.select("token", "doc_id", "n", "pos"), None
+    for turn in range(HUB_ROUNDS):
+        at = _apart(at, joined)
+        if weights is None:
+            long = at.join(at.groupBy("token").agg(F.count("*").alias("size")), "token")
+            weights = materialize(long.groupBy("doc_id").agg(F.sum("size").alias("weight")), "weights")
+        links = _similar(some, _to_hubs(at, weights, turn), shipped)
+        found = links.count()
+        if not found:
+            break
+        joined = _merged(links, joined)
+        if found * HUB_GAIN < joined.count():
+            break
+
+    # last: whatever is left in one list but not in one component
+    at = _apart(at, joined)
     x, y = at.alias("x"), at.alias("y")
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
                    & (F.struct("x.n", "x.doc_id") < F.struct("y.n", "y.doc_id"))
@@ -254,8 +270,7 @@ def linked(postings: DataFrame, texts: DataFrame, shipped) -> DataFrame:
         now = pairs if last else pairs.join(_best(pairs), ["a", "b"])
         links = _similar(some, now.select("a", "b"), shipped)
         if not links.isEmpty():
-            known = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b")
-            joined = materialize(components(links.unionByName(known)), "joined")
+            joined = _merged(links, joined)
         if not last:
             part = lambda side: joined.select(F.col("node").alias(side), F.col("component").alias(f"{side}_in"))
             left = pairs.join(now.select("a", "b"), ["a", "b"], "left_anti").join(part("a"), "a", "left").join(part("b"), "b", "left")
@@ -264,6 +279,35 @@ def linked(postings: DataFrame, texts: DataFrame, shipped) -> DataFrame:
     return joined
 
 
+def _merged(links: DataFrame, joined: DataFrame) -> DataFrame:
+    known = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b")
+    return materialize(components(links.unionByName(known)), "joined")
+
+
+def _apart(at: DataFrame, joined: DataFrame) -> DataFrame:
+    """Postings (token, doc_id, n, pos, component) of the lists whose members are not all in one component."""
+    at = at.drop("component").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    at = materialize(at.withColumn("component", F.coalesce("component", "doc_id")), "placed")
+    mixed = at.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    return materialize(at.join(mixed.select("token"), "token"), "apart")
+
+
+def _to_hubs(at: DataFrame, weights: DataFrame, turn: int) -> DataFrame:
+    """(a, b): for each posted text the hub it meets most often; pairs grow with postings, not with their squares.
+
+    A text in the middle of a group of near copies shares more and longer lists than
+    the copies around it. Later turns let chance decide as well, so other hubs get their turn.
+    """
+    chance = F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(1 << 20)) * (turn % 2)
+    ranked = at.join(weights, "doc_id").withColumn("rank", F.struct(chance.alias("chance"), "weight", "doc_id"))
+    hubs = ranked.groupBy("token").agg(F.max_by(F.struct("doc_id", "n", "pos", "component"), "rank").alias("hub"))
+    met = at.join(hubs, "token").filter((F.col("hub.component") != F.col("component"))
+                                        & _may_reach("hub.n", "hub.pos", "n", "pos"))
+    best = (met.groupBy("doc_id", F.col("hub.doc_id").alias("hub")).agg(F.count("*").alias("met"))
+            .groupBy("doc_id").agg(F.max_by("hub", F.struct("met", "hub")).alias("hub")))
+    return best.select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+
+
 def _best(pairs: DataFrame) -> DataFrame:
     """For each member of ``pairs`` (a, b, met) its pair with most in common."""
     of = lambda me: pairs.groupBy(F.col(me).alias("me")).agg(F.max_by(F.struct("a", "b"), F.struct("met", "a", "b")).alias("p"))
