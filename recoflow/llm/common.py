@@ -32,18 +32,17 @@ def rank_within(df: DataFrame, groups: list[str], order: list, name: str, label:
     """
     keys = [F.col(g) for g in groups]
     df = materialize(df, f"{label}-in")
+    at, part, low, before = (free_name(df, n) for n in ("_at", "_part", "_low", "_before"))
     dealt = (df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
-             .withColumn("_at", F.monotonically_increasing_id()))
-    dealt = materialize(dealt, label).withColumn("_part", F.shiftright("_at", 33))
-    sizes = dealt.groupBy("_part", *groups).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*groups).orderBy("_part")) - F.col("_n")
-    sizes = sizes.select("_part", *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], "_first",
-                         before.alias("_before"))
-    on = [dealt["_part"] == sizes["_part"]]
-    on += [dealt[g].eqNullSafe(sizes[f"_g{i}"]) for i, g in enumerate(groups)]
+             .withColumn(at, F.monotonically_increasing_id()))
+    dealt = materialize(dealt, label).withColumn(part, F.shiftright(at, 33))
+    sizes = dealt.groupBy(part, *groups).agg(F.min(at).alias(low), F.count("*").alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy(*groups).orderBy(part)) - F.col("n")
+    sizes = sizes.select(part, *[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], low, earlier.alias(before))
+    on = [dealt[part] == sizes[part]]
+    on += [dealt[g].eqNullSafe(sizes[f"g{i}"]) for i, g in enumerate(groups)]
     joined = dealt.join(F.broadcast(sizes), on)
-    return joined.select(*[dealt[c] for c in df.columns],
-                         (F.col("_at") - F.col("_first") + F.col("_before")).alias(name))
+    return joined.select(*[dealt[c] for c in df.columns], (F.col(at) - F.col(low) + F.col(before)).alias(name))
 
 
 def _slot(col):
@@ -57,13 +56,13 @@ def split_by_ids(df: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, Da
     can match moves only those rows. With very many ids all rows may match, and
     the join that follows is an ordinary one. Null keys are surely not.
     """
-    word, bit = F.shiftright(F.col("_s"), 6), F.col("_s").bitwiseAND(F.lit(63)).cast("int")
-    bits = (ids.select(_slot(F.col(ids.columns[0])).alias("_s")).groupBy(word.alias("_word"))
-            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits")))
-    slot = _slot(F.col(key))
-    marked = df.withColumn("_s", slot).withColumn("_word", F.shiftright("_s", 6))
-    marked = marked.join(F.broadcast(bits), "_word", "left")
-    hit = (F.call_function("shiftright", F.col("_bits"), bit).bitwiseAND(F.lit(1)) == 1) & F.col(key).isNotNull()
+    slot, word, bits = (free_name(df, n) for n in ("_slot", "_word", "_bits"))
+    bit = F.col(slot).bitwiseAND(F.lit(63)).cast("int")
+    table = (ids.select(_slot(F.col(ids.columns[0])).alias(slot)).groupBy(F.shiftright(slot, 6).alias(word))
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias(bits)))
+    marked = df.withColumn(slot, _slot(F.col(key))).withColumn(word, F.shiftright(slot, 6))
+    marked = marked.join(F.broadcast(table), word, "left")
+    hit = (F.call_function("shiftright", F.col(bits), bit).bitwiseAND(F.lit(1)) == 1) & F.col(key).isNotNull()
     hit = F.coalesce(hit, F.lit(False))
     return marked.filter(hit).select(*df.columns), marked.filter(~hit).select(*df.columns)
 

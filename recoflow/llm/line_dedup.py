@@ -189,18 +189,19 @@ def remove_lines(docs: DataFrame) -> DataFrame:
     lost = fates.groupBy("doc_id", "text_hash").agg(
         F.countDistinct(F.when(~F.col("stays"), F.col("line"))).alias("n"),
         F.sort_array(F.collect_set(F.when(F.col("stays"), F.col("line").cast("int")))).alias("kept")).filter("n > 0")
-    lost = materialize(lost.select(F.col("doc_id").alias("_lost_id"), F.col("text_hash").alias("_lost_hash"),
-                                   F.col("n").alias("_lost_n"), F.col("kept").alias("_lost_kept")), "lost")
     key, number = free_name(docs, "text_hash"), free_name(docs, "n_removed")
-    maybe, same = split_by_ids(docs.withColumn(key, F.xxhash64("text")), key, lost.select("_lost_hash"))
+    mine = [free_name(docs, n) for n in ("_lost_id", "_lost_hash", "_lost_n", "_lost_kept")]
+    lost = materialize(lost.select("doc_id", "text_hash", "n", "kept").toDF(*mine), "lost")
+    lost_id, lost_hash, lost_n, kept = mine
+    maybe, same = split_by_ids(docs.withColumn(key, F.xxhash64("text")), key, lost.select(lost_hash))
     # the outer lambda splits a text once, not once per line
     rest = F.transform(F.array(F.split("text", "\n", -1)), lambda lines: F.array_join(
-        F.transform("_lost_kept", lambda i: F.get(lines, i)), "\n"))
-    text = F.when(F.col("_lost_n").isNull(), F.col("text")).otherwise(rest[0])
-    changed = maybe.join(lost, F.col("doc_id").cast("long").eqNullSafe(F.col("_lost_id"))
-                         & (F.col(key) == F.col("_lost_hash")), "left")
+        F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    text = F.when(F.col(lost_n).isNull(), F.col("text")).otherwise(rest[0])
+    changed = maybe.join(lost, F.col("doc_id").cast("long").eqNullSafe(F.col(lost_id))
+                         & (F.col(key) == F.col(lost_hash)), "left")
     changed = changed.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                             F.coalesce("_lost_n", F.lit(0)).alias(number))
+                             F.coalesce(lost_n, F.lit(0)).alias(number))
     return changed.unionByName(same.select(*docs.columns, F.lit(0).cast("long").alias(number)))
 
 

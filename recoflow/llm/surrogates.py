@@ -302,13 +302,16 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
                                             F.first("_known", ignorenulls=True).alias("_known"))
     new = materialize(new.withColumn("_new", F.transform("_new", lambda x: x["new"])), "replacements")
     hashed, number = free_name(docs, "text_hash"), free_name(docs, "n_entities")
-    maybe, same = split_by_ids(docs.withColumn(hashed, F.xxhash64("text")), hashed, new.select("_hash"))
-    between = F.split("text", with_names(F.col("_known")), -1)
-    text = F.array_join(F.zip_with(between, "_new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    changed = maybe.join(new, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(hashed) == F.col("_hash")), "left")
+    mine = [free_name(docs, n) for n in ("_id", "_hash", "_new", "_known")]
+    new = new.select("_id", "_hash", "_new", "_known").toDF(*mine)
+    of_id, of_hash, put, known = mine
+    maybe, same = split_by_ids(docs.withColumn(hashed, F.xxhash64("text")), hashed, new.select(of_hash))
+    between = F.split("text", with_names(F.col(known)), -1)
+    text = F.array_join(F.zip_with(between, put, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    changed = maybe.join(new, F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.col(hashed) == F.col(of_hash)), "left")
     changed = changed.select(
-        *[F.when(F.col("_new").isNull(), F.col("text")).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        F.coalesce(F.size("_new"), F.lit(0)).cast("long").alias(number))
+        *[F.when(F.col(put).isNull(), F.col("text")).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns],
+        F.coalesce(F.size(put), F.lit(0)).cast("long").alias(number))
     return changed.unionByName(same.select(*docs.columns, F.lit(0).cast("long").alias(number)))
 
 
