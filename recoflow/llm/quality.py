@@ -4,7 +4,7 @@ Base rules come from a document's own text. Then its lines are normalised (white
 space collapsed, lower-cased) and hashed, and for each host (``source``) the
 documents that have a line are counted. A line is above the limits if at least
 ``MIN_DOCS`` documents of the host have it and those are more than ``MAX_SHARE``
-percent of the host's documents; such lines are taken out. A document is depleted, and rejected, if
+percent of the host's documents; such lines are taken out (``clean``). A document is depleted, and rejected, if
 fewer than ``LEFT_WORDS`` words or less than ``LEFT_SHARE`` percent of its words are left.
 
 All per-text work happens inside the row, so texts are never shuffled: what moves
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recoflow.llm.common import read
+from recoflow.llm.common import free_name, read, split_by_ids
 from recoflow.session import materialize
 
 MIN_DOCS, MAX_SHARE = 10, 2
@@ -68,10 +68,15 @@ def base_rules(text):
         bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
 
 
+def tidy(line):
+    """A line as it is counted: lower case, white space collapsed."""
+    return F.trim(F.regexp_replace(F.lower(line), SPACE, " "))
+
+
 def line_hashes(text):
     """(h, words, first) of each line with a word, ordered by h; first: the first line of that hash here."""
-    tidy = F.filter(F.transform(F.split(F.lower(text), "\n"), lambda x: F.trim(F.regexp_replace(x, SPACE, " "))), lambda x: x != "")
-    pairs = F.array_sort(F.transform(tidy, lambda x: F.struct(
+    tidied = F.filter(F.transform(F.split(F.lower(text), "\n"), lambda x: F.trim(F.regexp_replace(x, SPACE, " "))), lambda x: x != "")
+    pairs = F.array_sort(F.transform(tidied, lambda x: F.struct(
         F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("words"))))
     return bind(pairs, lambda p: F.transform(p, lambda x, i: F.struct(
         x["h"].alias("h"), x["words"].alias("words"),
@@ -81,26 +86,61 @@ def line_hashes(text):
 def judge(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
           left_words: int = LEFT_WORDS, left_share: float = LEFT_SHARE) -> DataFrame:
     """Base measures and verdict of each row of ``docs`` (doc_id, text, source)."""
+    rows = _measures(docs, F.monotonically_increasing_id())
+    return _verdicts(rows, _above(rows, min_docs, max_share), left_words, left_share).drop("row")
+
+
+def _measures(docs: DataFrame, row) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), base_rules(text).alias("b"),
-                       line_hashes(text).alias("lines"), F.monotonically_increasing_id().alias("row"))
-    rows = materialize(rows, "measures")
+                       line_hashes(text).alias("lines"), row.alias("row"))
+    return materialize(rows, "measures")
+
+
+def _above(rows: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+    """(host, h, row, words, first) of the lines above the limits."""
     lines = rows.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.*")
     hosts = rows.groupBy("host").agg(F.count("*").alias("docs"))
     often = (lines.groupBy("host", "h").agg(F.sum("first").alias("having")).filter(F.col("having") >= min_docs)
              .join(hosts, "host").filter(100 * F.col("having") > max_share * F.col("docs")).select("host", "h"))
-    removed = lines.join(often, ["host", "h"]).groupBy("row").agg(F.sum("words").alias("removed"))
+    return lines.join(often, ["host", "h"])
+
+
+def _verdicts(rows: DataFrame, above: DataFrame, left_words: int, left_share: float) -> DataFrame:
+    removed = above.groupBy("row").agg(F.sum("words").alias("removed"))
     out = rows.join(removed, "row", "left").withColumn("removed", F.coalesce("removed", F.lit(0)))
     n = F.col("b.w.n_words")
     left = n - F.col("removed")
     failed = (n < 10) | (100 * F.col("b.w.n_repeat_words") > 20 * n)
     return out.select(
-        "doc_id", n.alias("n_words"), "b.w.word_chars", "b.n_symbols", "b.n_dup_lines", "b.w.n_repeat_words",
+        "row", "doc_id", n.alias("n_words"), "b.w.word_chars", "b.n_symbols", "b.n_dup_lines", "b.w.n_repeat_words",
         failed.alias("base_failed"),
         (~failed & ~((left < left_words) | (100 * left < left_share * n))).alias("kept"),
         F.col("removed").cast("long").alias("n_removed_words"))
 
 
+def clean(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+          left_words: int = LEFT_WORDS, left_share: float = LEFT_SHARE) -> DataFrame:
+    """The rows of ``docs`` that pass, all columns as they were, but without the lines above the limits.
+
+    Lines are judged and measured as in ``judge``. Only rows that lose a line are joined with what they lose.
+    """
+    row = free_name(docs, "_row")
+    docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    rows = _measures(docs, F.col(row))
+    above = materialize(_above(rows, min_docs, max_share).select("row", "h", "words"), "above")
+    failed = _verdicts(rows, above, left_words, left_share).filter(~F.col("kept")).select(F.col("row").alias(row))
+    kept = docs.join(materialize(failed, "failed"), row, "left_anti")
+    gone = free_name(docs, "_gone")
+    lost = materialize(above.groupBy(F.col("row").alias(row)).agg(F.collect_set("h").alias(gone)), "lost")
+    maybe, same = split_by_ids(kept, row, lost.select(row))
+    stays = lambda line: ~F.coalesce(F.array_contains(F.col(gone), F.xxhash64(tidy(line))) & (tidy(line) != ""), F.lit(False))
+    text = F.array_join(F.filter(F.split("text", "\n", -1), stays), "\n")
+    changed = maybe.join(lost, row, "left").select(
+        *[F.when(F.col(gone).isNull(), F.col("text")).otherwise(text).alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    return changed.unionByName(same).drop(row)
+
+
 def keep(docs: DataFrame, **limits) -> DataFrame:
     """(doc_id) of the rows that pass."""
     return judge(docs, **limits).filter("kept").select("doc_id")
