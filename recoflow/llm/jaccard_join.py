@@ -40,7 +40,7 @@ SHINGLE = 5
 FREQUENT = 1 << 21          # shingles with a known list length: 32 MB at most
 SPLIT = 512                 # postings of a frequent shingle that one task takes
 SLICE_BYTES = 4 << 20
-HUB_ROUNDS = 4              # rounds that compare each text with one hub
+HUB_ROUNDS = 2              # rounds that compare each text with one hub
 HUB_GAIN = 64               # a round that links less than this part of the linked texts is the last of them
 BEST_ROUNDS = 3             # rounds that try each text's best pair before all that are left
 
@@ -241,13 +241,11 @@ def linked(postings: DataFrame, texts: DataFrame, shipped) -> DataFrame:
     joined = materialize(components(_similar(some, first, shipped)), "joined")
 
     # hub rounds: each text left apart meets the hub of one of its lists, the member in the longest lists
-    at, weights = lists.select("token", "doc_id", "n", "pos"), None
+    at = _apart(lists.select("token", "doc_id", "n", "pos"), joined)
+    long = at.join(at.groupBy("token").agg(F.count("*").alias("size")), "token")
+    weights = materialize(long.groupBy("doc_id").agg(F.sum("size").alias("weight")), "weights")
     for turn in range(HUB_ROUNDS):
-        at = _apart(at, joined)
-        if weights is None:
-            long = at.join(at.groupBy("token").agg(F.count("*").alias("size")), "token")
-            weights = materialize(long.groupBy("doc_id").agg(F.sum("size").alias("weight")), "weights")
-        links = _similar(some, _to_hubs(at, weights, turn), shipped)
+        links = _similar(some, _to_hubs(_placed(at, joined), weights, turn), shipped)
         found = links.count()
         if not found:
             break
@@ -256,7 +254,7 @@ def linked(postings: DataFrame, texts: DataFrame, shipped) -> DataFrame:
             break
 
     # last: whatever is left in one list but not in one component
-    at = _apart(at, joined)
+    at = _placed(_apart(at, joined), joined)
     x, y = at.alias("x"), at.alias("y")
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
                    & (F.struct("x.n", "x.doc_id") < F.struct("y.n", "y.doc_id"))
@@ -284,11 +282,15 @@ def _merged(links: DataFrame, joined: DataFrame) -> DataFrame:
     return materialize(components(links.unionByName(known)), "joined")
 
 
+def _placed(at: DataFrame, joined: DataFrame) -> DataFrame:
+    """Postings ``at`` (token, doc_id, n, pos) with the component of each text."""
+    at = at.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    return at.withColumn("component", F.coalesce("component", "doc_id"))
+
+
 def _apart(at: DataFrame, joined: DataFrame) -> DataFrame:
-    """Postings (token, doc_id, n, pos, component) of the lists whose members are not all in one component."""
-    at = at.drop("component").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    at = materialize(at.withColumn("component", F.coalesce("component", "doc_id")), "placed")
-    mixed = at.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    """Of postings ``at`` those of the lists whose members are not all in one component."""
+    mixed = _placed(at, joined).groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     return materialize(at.join(mixed.select("token"), "token"), "apart")
 
 
