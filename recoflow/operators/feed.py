@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from recoflow import schema as S
 from recoflow.functions.keys import first_md5_digit
+from recoflow.operators import history
 from recoflow.operators.ctr import rank_candidates
 from recoflow.operators.recall import recall_union
 
@@ -155,15 +156,17 @@ def split_feed(ranked: DataFrame, requests: DataFrame | None = None) -> tuple[Da
 
 def generate_feed(requests: DataFrame, stored: DataFrame, new: DataFrame, hot: DataFrame,
                   served: DataFrame, users: DataFrame, articles: DataFrame,
-                  strategies: DataFrame, **ranking) -> tuple[DataFrame, DataFrame]:
+                  strategies: DataFrame, seen: DataFrame | None = None, **ranking) -> tuple[DataFrame, DataFrame]:
     """(feed, waiting) of refresh requests: recall, history filter, ranking, split.
 
+    With ``seen``, the history as bitmaps (``history.served_bitmaps``), candidates
+    are tested against its bits and ``served`` is not read.
     ``ranking`` goes to :func:`rank_candidates` (model or score, cap, dim). All
     strategies rank with the same model. Both results come from one ranked
     table: materialize it when both are written.
     """
     candidates = recall_union(assign_strategy(requests), stored, new, hot, strategies)
-    fresh = exclude_served(candidates, served)
+    fresh = exclude_served(candidates, served) if seen is None else history.exclude_seen(candidates, seen)
     return split_feed(rank_candidates(fresh, users, articles, **ranking))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recoflow.functions import text as tx
-from recoflow.operators.recall import range_rank
+from recoflow.operators.ranks import range_rank
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

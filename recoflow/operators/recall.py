@@ -8,6 +8,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from recoflow.operators import products
 from recoflow.session import materialize
 
 INDEX_BUCKETS = 4096
@@ -34,27 +35,11 @@ def dense_index(df: DataFrame, col: str, buckets: int = INDEX_BUCKETS) -> DataFr
     )
 
 
-def range_rank(df: DataFrame, order: list, name: str) -> DataFrame:
-    """``df`` with a gapless 0-based rank by ``order``: ranges of rows are ranked in
-    parallel and shifted by the rows of the ranges before, one number per range."""
-    df = materialize(df, "unranked")
-    dealt = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-             .withColumn("_at", F.monotonically_increasing_id()))
-    dealt = materialize(dealt, "ranges").withColumn("_part", F.shiftright("_at", 33))
-    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).select(
-        "_part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
-    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("before")
-    return dealt.join(F.broadcast(sizes), "_part").select(*df.columns, place.alias(name))  # one row per range
-
-
-def als_recall(interactions: DataFrame, users: DataFrame, k: int = 100,
-               seed: int = 42, als: ALS | None = None) -> DataFrame:
-    """(user_id, article_id, score): the k best articles of each user by ALS.
+def als_factors(interactions: DataFrame, seed: int = 42, als: ALS | None = None) -> tuple[DataFrame, DataFrame]:
+    """((user_id, vector), (article_id, vector)): factors of users and articles by ALS.
 
     ``interactions`` has (user_id, article_id, clicked); the rating is clicked
-    as 0/1. Ids of any size are numbered densely first. Scoring inside the model
-    is ``users`` x articles, so the caller names the users to serve.
+    as 0/1. Ids of any size are numbered densely first.
     """
     # Read before and after the fit, so written once.
     user_ids = materialize(dense_index(interactions, "user_id").withColumnRenamed("idx", "u"), "users")
@@ -67,14 +52,26 @@ def als_recall(interactions: DataFrame, users: DataFrame, k: int = 100,
     als = als or ALS()
     als = als.copy().setUserCol("u").setItemCol("a").setRatingCol("r").setSeed(seed)
     model = als.fit(ratings)
-    wanted = users.select("user_id").distinct().join(user_ids, "user_id").select(F.col("u").cast("int"))
-    best = model.recommendForUserSubset(wanted, k)
-    return (
-        best.select("u", F.explode("recommendations").alias("rec"))
-        .select("u", F.col("rec.a").alias("a"), F.col("rec.rating").alias("score"))
-        .join(user_ids, "u").join(article_ids, "a")
-        .select("user_id", "article_id", "score")
-    )
+
+    def named(factors: DataFrame, ids: DataFrame, number: str, key: str) -> DataFrame:
+        vector = F.col("features").cast("array<double>").alias("vector")
+        return materialize(factors.select(F.col("id").alias(number), vector).join(ids, number).select(key, "vector"), "factors")
+
+    return named(model.userFactors, user_ids, "u", "user_id"), named(model.itemFactors, article_ids, "a", "article_id")
+
+
+def als_recall(interactions: DataFrame, users: DataFrame, k: int = 100,
+               seed: int = 42, als: ALS | None = None) -> DataFrame:
+    """(user_id, article_id, score): the k best articles of each user by ALS.
+
+    Scores are inner products of the factors (``als_factors``); the search is
+    exact and skips articles whose norm is too small (``products.top_products``).
+    The caller names the users to serve.
+    """
+    user_factors, article_factors = als_factors(interactions, seed, als)
+    wanted = user_factors.join(users.select("user_id").distinct(), "user_id", "left_semi")
+    return products.top_products(wanted, article_factors, "user_id", "article_id", k).select(
+        "user_id", "article_id", "score")
 
 
 def with_channel(recall: DataFrame, articles: DataFrame) -> DataFrame:

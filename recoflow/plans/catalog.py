@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from recoflow.functions import keys as K
 from recoflow.functions.text import strip_tags
 from recoflow.functions.vectors import total
-from recoflow.operators import actions, articles, cells, ctr, evaluation, feed, keywords, profiles, recall, similar, vectors
+from recoflow.operators import (actions, articles, asof, cells, ctr, evaluation, feed, frequencies, history, interest_days,
+                                keywords, products, profiles, recall, similar, vectors)
 from recoflow.plans import inputs as I
 from recoflow.session import materialize, scratch_dir
 from recoflow.sources import adapters as A
@@ -82,6 +83,21 @@ def interest_top10(spark, sf):
         "user_id", "channel_id", "topic", _r("weight"), "rank")
 
 
+@query
+def interest_by_day(spark, sf):
+    """Sums by day of the actions before the split, then changed by those after it, read for three days."""
+    log, topics = I.scanned(spark, sf), I.tfidf_profile(spark, sf)
+    day = F.lit(I.SPLIT).cast("timestamp_ntz")
+    old = materialize(actions.fold_actions(log.where(F.col("action_time") < day)), "old")
+    before, after = interest_days.changed_pairs(old, log.where(F.col("action_time") >= day))
+    sums = lambda table: interest_days.day_sums(table, topics, I.READ_THRESHOLD)
+    merged = materialize(interest_days.merge_sums([sums(old), sums(after)], [sums(before)]), "days")
+    number = lambda d: F.date_diff(F.lit(d).cast("date"), F.lit("1970-01-01").cast("date"))
+    parts = [interest_days.interests_on(merged, number(d)).select(
+        F.lit(d).alias("day"), "user_id", "channel_id", "topic", _r("weight")) for d in I.INTEREST_DAYS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def interest_map(spark, sf):
     """The stored map form, and back again through prefixed ids and compound keys."""
@@ -132,6 +148,19 @@ def idf_table(spark, sf):
     return I.idf(spark, sf).select("keyword", _r("idf"), F.col("index").alias("idx"))
 
 
+@query
+def idf_hours(spark, sf):
+    """Every article published twice, the first time with other words, in hours that come out of order."""
+    tok, path = I.tokens(spark, sf), scratch_dir(spark, "frequencies")
+    first = tok.withColumn("words", F.slice(F.concat(F.array(F.lit("first"), F.lit("draft")), "words"), 1, F.size("words") + 1))
+    early = F.col("channel_id") <= 12
+    hours = [("2024013100", first), ("2024013102", tok.where(~early)), ("2024013101", tok.where(early | early.isNull())),
+             ("2024013103", tok.where(~early))]
+    for hour, published in hours:
+        frequencies.add_hour(published, path, hour, buckets=8)
+    return frequencies.idf_table(spark, path).select("keyword", _r("idf"), F.col("index").alias("idx"))
+
+
 @query
 def tfidf_top20(spark, sf):
     return I.tfidf(spark, sf)
@@ -257,6 +286,33 @@ def als_recall(spark, sf):
         "user_id", "channel_id", "article_id", _r("score", 4))
 
 
+@query
+def inner_top10(spark, sf):
+    """The exact search behind collaborative recall: vectors in whole thousandths as factors of users and articles."""
+    factors = A.read(spark, sf, "embeddings").select("vec_id", F.transform(
+        "embedding", lambda x: F.floor(x.cast("double") * 1000).cast("double")).alias("vector"))
+    return products.top_products(factors.withColumnRenamed("vec_id", "user_id"),
+                                 factors.withColumnRenamed("vec_id", "article_id"), "user_id", "article_id", 10)
+
+
+@query
+def als_factor_checks(spark, sf):
+    """For every listed user: scores are the products of the factors, and the factors fit the clicks better
+    than their mean does. That nothing better is left out is what inner_top10 and the tests check."""
+    done = materialize(I.folded(spark, sf), "folded")
+    users, articles_ = recall.als_factors(done)
+    found = products.top_products(users, articles_, "user_id", "article_id", 20)
+    named = lambda pairs: (pairs.join(users.withColumnRenamed("vector", "u"), "user_id")
+                           .join(articles_.withColumnRenamed("vector", "a"), "article_id")
+                           .withColumn("dot", F.aggregate(F.zip_with("u", "a", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)))
+    r = F.col("clicked").cast("double")
+    fit = named(done.select("user_id", "article_id", "clicked")).agg(
+        (F.avg((r - F.col("dot")) ** 2) < F.var_pop(r)).alias("learned"))
+    checks = named(found).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.abs(F.col("score") - F.col("dot")) < 1e-9).alias("products"))
+    return checks.withColumn("learned", fit.scalar())
+
+
 @query
 def als_recall_checks(spark, sf):
     """For every user of the log: at most k articles, all of the log, none had before, best first."""
@@ -322,8 +378,43 @@ def recall_union_all(spark, sf):
     return _recall_union(spark, sf, every=True)
 
 
+# -- served history as bitmaps -------------------------------------------------
+
+@query
+def served_bitmaps(spark, sf):
+    """Bitmaps of the feeds before the split, brought up to date with those since."""
+    rows = materialize(I.served(spark, sf, every=True), "served")
+    new = F.col("request_ts") >= I.millis(F.lit(I.SPLIT).cast("date"))
+    merged = history.merge_bitmaps(history.served_bitmaps(rows.where(~new)), history.served_bitmaps(rows.where(new)))
+    return merged.select("user_id", "channel_id", "part", F.bitmap_count("bits").alias("n_articles"))
+
+
+@query
+def bought_bitmaps(spark, sf):
+    """The same on the largest table: distinct parts per customer and order status."""
+    orders = A.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    items = A.read(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    rows = items.join(orders, items.l_orderkey == orders.o_orderkey).select(
+        F.col("o_custkey").alias("user_id"), F.col("o_orderstatus").alias("channel_id"), F.col("l_partkey").alias("article_id"))
+    return history.served_bitmaps(rows).select("user_id", "channel_id", "part", F.bitmap_count("bits").alias("n_articles"))
+
+
+@query
+def unseen_candidates(spark, sf):
+    """All recalled candidates that the bitmaps of the whole history do not hold."""
+    seen = history.served_bitmaps(I.served(spark, sf, every=True))
+    return history.exclude_seen(_recall_union(spark, sf, every=True), seen).select("user_id", "channel_id", "article_id")
+
+
 # -- click-through features, model, evaluation --------------------------------
 
+@query
+def timely_samples(spark, sf):
+    """Each action with its user's totals up to the day before."""
+    return asof.timely_samples(I.scanned(spark, sf)).select(
+        "user_id", "action_time", "channel_id", "clicked", "valid_from", "n_clicks", "n_actions")
+
+
 @query
 def user_features(spark, sf):
     return I.features(spark, sf)[0].select(
@@ -432,7 +523,7 @@ def _feed(spark, sf):
     return feed.generate_feed(
         I.requests(spark, sf), I.stored_recall(spark, sf), I.arrived(spark, sf),
         recall.hot_articles(I.hot(spark, sf)), I.served(spark, sf), users, articles_,
-        feed.strategy_table(spark), score=sigmoid_of_mean, dim=I.DIM)
+        feed.strategy_table(spark), history.served_bitmaps(I.served(spark, sf)), score=sigmoid_of_mean, dim=I.DIM)
 
 
 @query

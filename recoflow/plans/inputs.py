@@ -12,6 +12,7 @@ from recoflow.sources import adapters as A
 # Parameters of the catalogue; the SQL uses the same values.
 NOW = "2024-02-01 00:00:00"
 SPLIT = "2024-01-15"
+INTEREST_DAYS = ["2024-02-01", "2024-02-15", "2024-06-01"]
 READ_THRESHOLD = 100
 DIM = 64
 LSH = {"tables": 8, "per_table": 2, "bucket_length": 0.25, "threshold": 1.2, "dim": DIM}

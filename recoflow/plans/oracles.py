@@ -206,6 +206,13 @@ QUERIES: dict[str, str] = {
     "user_article_basic": "SELECT * FROM fold",
     "action_merge": "SELECT * FROM fold",
     "interest_weights": "SELECT user_id, channel_id, topic, round(weight, 6) AS weight FROM interests",
+    "interest_by_day": f"""SELECT day, user_id, channel_id, topic, round(sum(score), 6) AS weight FROM (
+        SELECT n.day, f.user_id, t.channel_id, t.keyword AS topic,
+          1e0 / (ln(floor(epoch(CAST(n.day AS TIMESTAMP) - action_time) / 86400) + 1e0) + 1e0)
+          * (3 * shared::INT + 5 * clicked::INT + 2 * collected::INT
+             + CASE WHEN coalesce(read_time, 0) > {I.READ_THRESHOLD} THEN 2 ELSE 1 END) AS score
+        FROM fold f JOIN tfidf t USING (article_id), (SELECT unnest({I.INTEREST_DAYS}) AS day) n)
+        GROUP BY ALL""",
     "interest_map": "SELECT user_id, channel_id, topic, round(weight, 6) AS weight FROM interests",
     "interest_top10": """SELECT user_id, channel_id, topic, weight, rank FROM (
         SELECT user_id, channel_id, topic, round(weight, 6) AS weight, row_number() OVER (
@@ -228,6 +235,7 @@ QUERIES: dict[str, str] = {
         md5(coalesce(string_agg(keyword || ':' || tf, ',' ORDER BY keyword), '')) AS digest
         FROM docs d LEFT JOIN tf USING (article_id) GROUP BY d.article_id""",
     "idf_table": "SELECT keyword, round(idf, 6) AS idf, idx FROM idf",
+    "idf_hours": "SELECT keyword, round(idf, 6) AS idf, idx FROM idf",
     "tfidf_top20": "SELECT article_id, channel_id, keyword, tfidf FROM tfidf",
     "textrank_top20": "SELECT article_id, channel_id, keyword, textrank FROM ranked",
     "keyword_weights": "SELECT article_id, channel_id, keyword, round(weight, 5) AS weight FROM weighted",
@@ -259,6 +267,13 @@ QUERIES: dict[str, str] = {
           count(DISTINCT l_orderkey) - 1 AS max_idx FROM lineitem
         UNION ALL SELECT 'l_partkey', count(DISTINCT l_partkey), count(DISTINCT l_partkey),
           count(DISTINCT l_partkey) - 1 FROM lineitem""",
+    "inner_top10": """WITH f AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1000)) AS v FROM embeddings)
+        SELECT user_id, article_id, score, rank FROM (SELECT *, row_number() OVER (
+            PARTITION BY user_id ORDER BY score DESC, article_id) AS rank
+          FROM (SELECT q.vec_id AS user_id, i.vec_id AS article_id, list_dot_product(q.v, i.v) AS score FROM f q, f i))
+        WHERE rank <= 10""",
+    "als_factor_checks": """SELECT user_id, least(20, (SELECT count(DISTINCT article_id) FROM fold)) AS n,
+        TRUE AS products, TRUE AS learned FROM fold GROUP BY user_id""",
     "als_recall_checks": """SELECT DISTINCT user_id, TRUE AS few, TRUE AS known, TRUE AS fresh, TRUE AS falling FROM fold""",
     "hot_top10": "SELECT channel_id, article_id, score, rank FROM hot",
     "hot_parts": """SELECT * FROM (SELECT *, row_number() OVER (
@@ -274,6 +289,22 @@ QUERIES: dict[str, str] = {
     "recall_union_all": """SELECT user_id, channel_id,
         CASE WHEN left(md5(user_id::VARCHAR), 1) IN ('e', 'f') THEN 'Algo-2' ELSE 'Algo-1' END AS strategy,
         article_id, array_to_string(sources, ',') AS sources FROM recalled_all""",
+    "served_bitmaps": """SELECT user_id, channel_id, CASE WHEN article_id > 0 THEN 1 + (article_id - 1) // 32768 ELSE 0 END AS part,
+        count(DISTINCT article_id) AS n_articles FROM served_all GROUP BY ALL""",
+    "bought_bitmaps": """SELECT o_custkey AS user_id, o_orderstatus AS channel_id,
+        CASE WHEN l_partkey > 0 THEN 1 + (l_partkey - 1) // 32768 ELSE 0 END AS part,
+        count(DISTINCT l_partkey) AS n_articles FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""",
+    "unseen_candidates": """SELECT user_id, channel_id, article_id FROM recalled_all c WHERE NOT EXISTS (
+        SELECT 1 FROM served_all s WHERE s.user_id = c.user_id AND s.article_id = c.article_id
+        AND s.channel_id IN (0, c.channel_id))""",
+    "timely_samples": """WITH days AS (SELECT user_id, CAST(action_time AS DATE) AS d, count(*) AS a,
+            count(*) FILTER (action = 'click') AS c FROM log GROUP BY ALL),
+          versions AS (SELECT user_id, CAST(d + 1 AS TIMESTAMP) AS valid_from,
+            CAST(sum(c) OVER w AS BIGINT) AS n_clicks, CAST(sum(a) OVER w AS BIGINT) AS n_actions
+            FROM days WINDOW w AS (PARTITION BY user_id ORDER BY d))
+        SELECT l.user_id, l.action_time, l.channel_id, CAST(l.action = 'click' AS INTEGER) AS clicked,
+          v.valid_from, v.n_clicks, v.n_actions
+        FROM log l ASOF LEFT JOIN versions v ON v.user_id = l.user_id AND v.valid_from <= l.action_time""",
     "user_features": """SELECT user_id, channel_id, CAST(len(weights) AS BIGINT) AS n,
         round(list_sum(weights), 5) AS total FROM user_feats""",
     "article_features": """SELECT article_id, channel_id, CAST(11 + len(v) AS BIGINT) AS n,
