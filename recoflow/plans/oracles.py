@@ -273,7 +273,7 @@ QUERIES: dict[str, str] = {
           FROM (SELECT q.vec_id AS user_id, i.vec_id AS article_id, list_dot_product(q.v, i.v) AS score FROM f q, f i))
         WHERE rank <= 10""",
     "als_factor_checks": """SELECT user_id, least(20, (SELECT count(DISTINCT article_id) FROM fold)) AS n,
-        TRUE AS products, TRUE AS learned FROM fold GROUP BY user_id""",
+        TRUE AS products, TRUE AS beats_zeros, TRUE AS clicks_higher FROM fold GROUP BY user_id""",
     "als_recall_checks": """SELECT DISTINCT user_id, TRUE AS few, TRUE AS known, TRUE AS fresh, TRUE AS falling FROM fold""",
     "hot_top10": "SELECT channel_id, article_id, score, rank FROM hot",
     "hot_parts": """SELECT * FROM (SELECT *, row_number() OVER (
