@@ -4,6 +4,8 @@ import random
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from recoflow.operators import feed, history, products
 
 SCHEMA = "key long, vector array<double>"
@@ -67,3 +69,13 @@ def test_bitmaps_equal_the_history(spark, rows):
     assert rows(again) == rows(merged)
     empty = history.served_bitmaps(lines(spark, []))
     assert history.exclude_seen(candidates, empty).count() == candidates.count()
+
+
+def test_bitmaps_end_with_their_last_article(spark, rows):
+    """A line of few articles is a row of few bytes, also after a merge."""
+    once = history.served_bitmaps(lines(spark, [(1, 1, 3), (1, 1, 9), (2, 1, 70)]))
+    size = lambda df: rows(df.select("user_id", F.octet_length("bits"), F.bitmap_count("bits")))
+    assert size(once) == [(1, 2, 2), (2, 9, 1)]
+    assert size(history.merge_bitmaps(once, history.served_bitmaps(lines(spark, [(1, 1, 20)])))) == [(1, 3, 3), (2, 9, 1)]
+    assert not history.exclude_seen(lines(spark, [(1, 1, 9)]), once).count()
+    assert history.exclude_seen(lines(spark, [(1, 1, 8), (1, 1, 500)]), once).count() == 2
