@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recoflow.session import materialize
+
 FLAGS = ("shared", "clicked", "collected", "exposure")
 
 
@@ -63,6 +65,18 @@ def fold_actions(actions: DataFrame) -> DataFrame:
     return fold(action_flags(actions))
 
 
+def acted_on(table: DataFrame, actions: DataFrame) -> DataFrame:
+    """The rows of ``table`` whose article occurs in ``actions``, written once: the planner
+    then knows their size, and sends few of them to the actions instead of the reverse."""
+    rows = table.join(actions.select("article_id").distinct(), "article_id", "left_semi")
+    return materialize(rows.select(*table.columns), "acted-on")
+
+
+def by_user(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt by user, in fixed partitions: what follows makes many rows of each."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "user_id")
+
+
 def merge_actions(history: DataFrame, actions: DataFrame) -> DataFrame:
     """Bring an existing user x article table up to date with new actions."""
     return fold(history.unionByName(action_flags(actions)))

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recoflow.functions.scoring import action_score
-from recoflow.operators.actions import action_flags, fold
+from recoflow.operators.actions import acted_on, action_flags, by_user, fold
+from recoflow.session import materialize
 
 KEYS = ["user_id", "channel_id", "topic", "day"]
 PAIR = ["user_id", "article_id"]
@@ -31,12 +32,14 @@ def ending_day(at: Column, clock: int = 0) -> Column:
 def day_sums(actions: DataFrame, topics: DataFrame, read_threshold: float = 1000, clock: int = 0) -> DataFrame:
     """(user_id, channel_id, topic, day, score) of a user x article table.
 
-    ``topics`` has (article_id, channel_id, topics). Combines before the shuffle.
+    ``topics`` has (article_id, channel_id, topics). Scores are dealt by user before
+    they meet the topics, as in ``profiles.user_interests``.
     """
-    scored = actions.select(*PAIR, ending_day(F.col("action_time"), clock).alias("day"), action_score(
-        F.col("shared"), F.col("clicked"), F.col("collected"), F.col("read_time"), read_threshold).cast("long").alias("score"))
+    scored = materialize(actions.select(*PAIR, ending_day(F.col("action_time"), clock).alias("day"), action_score(
+        F.col("shared"), F.col("clicked"), F.col("collected"), F.col("read_time"), read_threshold).cast("long").alias("score")), "scored")
+    known = acted_on(topics.select("article_id", "channel_id", "topics"), scored)
     return (
-        scored.join(topics.select("article_id", "channel_id", "topics"), "article_id")
+        by_user(scored).join(known, "article_id")
         .select("user_id", "channel_id", F.explode("topics").alias("topic"), "day", "score")
         .groupBy(*KEYS).agg(F.sum("score").alias("score"))
     )
@@ -59,8 +62,11 @@ def changed_pairs(history: DataFrame, actions: DataFrame) -> tuple[DataFrame, Da
     return before, fold(before.unionByName(new))
 
 
-def interests_on(sums: DataFrame, day: Column) -> DataFrame:
+def interests_on(sums: DataFrame, *days: Column) -> DataFrame:
     """(user_id, channel_id, topic, weight) on a day (its number since 1970): 1 / (ln(days + 1) + 1)
-    of each day's sum. Days yet to come have no weight."""
-    decay = F.lit(1.0) / (F.log(day - F.col("day") + F.lit(1.0)) + F.lit(1.0))
-    return sums.groupBy("user_id", "channel_id", "topic").agg(F.sum(F.col("score") * decay).alias("weight"))
+    of each day's sum. Days yet to come have no weight. Several days are summed in one
+    pass; ``nth`` then tells which of them a row is for, from 0."""
+    weight = lambda day: F.sum(F.col("score") * (F.lit(1.0) / (F.log(day - F.col("day") + F.lit(1.0)) + F.lit(1.0))))
+    found = sums.groupBy("user_id", "channel_id", "topic").agg(F.array(*[weight(d) for d in days]).alias("weights"))
+    found = found.select("user_id", "channel_id", "topic", F.posexplode("weights").alias("nth", "weight"))
+    return found if len(days) > 1 else found.drop("nth")

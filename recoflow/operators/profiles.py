@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from recoflow.functions.keys import channel_topic, id_after_prefix
 from recoflow.functions.scoring import action_score, age_on, time_decay
+from recoflow.operators.actions import acted_on, by_user
+from recoflow.session import materialize
 
 
 def user_interests(actions: DataFrame, topics: DataFrame, now: Column,
@@ -15,16 +17,18 @@ def user_interests(actions: DataFrame, topics: DataFrame, now: Column,
 
     ``actions`` is the user x article table, ``topics`` has (article_id,
     channel_id, topics). The score of an article counts for each of its topics.
-    A hot article skews only the join, whose large side is split at run time;
-    the sum combines before its shuffle.
+    Scores are dealt by user before they meet the topics, so that the rows of all
+    topics are summed where they arise. Only topics of articles in ``actions`` are
+    joined; if they are too many to be sent to all, the sum is shuffled again.
     """
-    scored = actions.select(
+    scored = materialize(actions.select(
         "user_id", "article_id",
         (time_decay(F.col("action_time"), now)
          * action_score(F.col("shared"), F.col("clicked"), F.col("collected"),
-                        F.col("read_time"), read_threshold)).alias("score"))
+                        F.col("read_time"), read_threshold)).alias("score")), "scored")
+    known = acted_on(topics.select("article_id", "channel_id", "topics"), scored)
     return (
-        scored.join(topics.select("article_id", "channel_id", "topics"), "article_id")
+        by_user(scored).join(known, "article_id")
         .select("user_id", "channel_id", F.explode("topics").alias("topic"), "score")
         .groupBy("user_id", "channel_id", "topic").agg(F.sum("score").alias("weight"))
     )

@@ -97,3 +97,17 @@ def test_as_of_of_empty_tables(spark):
     right = spark.createDataFrame([], "k long, since timestamp_ntz, v int")
     assert asof.as_of(left, right, ["k"], "at", "since").collect()[0].v is None
     assert asof.as_of(left.limit(0), right, ["k"], "at", "since").count() == 0
+
+
+def test_sums_by_day_shuffle_no_topics(spark):
+    table = actions.fold_actions(log(spark, random.Random(4), 30, (0, 10))).crossJoin(
+        spark.range(3000).withColumnRenamed("id", "copy")).withColumn("user_id", F.col("user_id") + 3 * F.col("copy")).drop("copy")
+    topics = spark.createDataFrame([(0, 1, ["a", "b"]), (1, 1, ["b"])], "article_id long, channel_id int, topics array<string>")
+    sums = interest_days.merge_sums([interest_days.day_sums(table, topics), interest_days.day_sums(table, topics)])
+    days = [F.lit(19800), F.lit(19900)]
+    both = interest_days.interests_on(sums, *days)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "topic" in x], plan
+    key = lambda df: sorted((r.user_id, r.topic, round(r.weight, 9)) for r in df.collect())
+    for nth, day in enumerate(days):
+        assert key(both.where(F.col("nth") == nth)) == key(interest_days.interests_on(sums, day))

@@ -71,3 +71,13 @@ def test_remap_and_prefixed_id(spark, rows):
     df = spark.createDataFrame([(14225, "user:5"), (1, "user:123456789012")], "article_id long, key string")
     out = keys.remap(df, "article_id", {14225: 1}, 10).select("article_id", keys.id_after_prefix(F.col("key")))
     assert rows(out) == [(1, 5), (10, 123456789012)]
+
+
+def test_topics_are_summed_where_they_arise(spark):
+    """Rows of all topics are not shuffled: scores are dealt by user before."""
+    t = spark.createDataFrame([(1, 9, ["aa", "bb"]), (2, 9, ["bb"])], "article_id long, channel_id int, topics array<string>")
+    out = profiles.user_interests(spark.createDataFrame([act(1), act(2), act(3)], ACTIONS), t, NOW())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "topic" not in exchanges[0] and "channel" not in exchanges[0], plan
+    assert {(r.topic, r.weight) for r in out.collect()} == {("aa", 6.0), ("bb", 12.0)}
