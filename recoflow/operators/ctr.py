@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recoflow.functions.vectors import mean_of_slice, pad
+from recoflow.operators.actions import acted_on
+from recoflow.session import materialize
 
 WEIGHTS = 10
 
@@ -68,10 +70,12 @@ def ctr_samples(actions: DataFrame, users: DataFrame, articles: DataFrame, dims:
     without features drop out. A user's missing or short weights are padded
     with 0.0; when ``strict``, only users without any profile are padded and
     short lists are dropped. Rows of any other size than ``dims`` are removed.
+    Features of articles are the widest part and join last, those in ``actions`` only.
     """
+    actions = materialize(actions.select("user_id", "article_id", F.col("clicked").cast("int").alias("clicked")), "acted")
+    articles = acted_on(articles.withColumn("row", F.monotonically_increasing_id()), actions)
     rows = (
-        actions.select("user_id", "article_id", F.col("clicked").cast("int").alias("clicked"))
-        .join(articles, "article_id")
+        actions.join(articles.drop("features"), "article_id")
         .join(users.select("user_id", "channel_id", "weights"), ["user_id", "channel_id"], "left")
     )
     weights = pad(F.col("weights"), k)
@@ -82,7 +86,7 @@ def ctr_samples(actions: DataFrame, users: DataFrame, articles: DataFrame, dims:
         weights = F.when(F.col("profiled").isNull(), weights).otherwise(F.coalesce("weights", empty))
     features = training_order(F.col("features"), weights, k)
     return (
-        rows.select("user_id", "article_id", "channel_id", features.alias("features"), "clicked")
+        rows.join(articles.select("row", "features"), "row").select("user_id", "article_id", "channel_id", features.alias("features"), "clicked")
         .where(F.size("features") == dims)
     )
 
@@ -138,8 +142,8 @@ def rank_candidates(candidates: DataFrame, users: DataFrame, articles: DataFrame
     empty = F.array_repeat(F.lit(0.0), 1 + k + dim)
     article = F.coalesce(F.col("features"), empty)
     rows = (
-        candidates.join(articles.select("article_id", "features"), "article_id", "left")
-        .join(users.select("user_id", "channel_id", "weights"), ["user_id", "channel_id"], "left")
+        candidates.join(users.select("user_id", "channel_id", "weights"), ["user_id", "channel_id"], "left")
+        .join(articles.select("article_id", "features"), "article_id", "left")     # the widest part last
         .withColumn("known", F.size(F.coalesce("weights", F.array().cast("array<double>"))) > 0)
         .withColumn("features", training_order(article, pad(F.col("weights"), k), k))
     )

@@ -119,3 +119,16 @@ def test_rank_by_fitted_model(spark, rows):
     out = ctr.rank_candidates(cands, users, articles, model=model, dim=2)
     assert rows(out.select("rank", "article_id")) == [(1, 2), (2, 3), (3, 1)]
     assert out.where("score between 0 and 1").count() == 3
+
+
+def test_samples_move_features_of_their_articles_only(spark, rows, monkeypatch):
+    """Copies of an article count each; those without an action are not joined."""
+    moved, acted_on = [], ctr.acted_on
+    monkeypatch.setattr(ctr, "acted_on", lambda table, actions: moved.append(acted_on(table, actions)) or moved[-1])
+    users = spark.createDataFrame([(1, 3, [0.5])], "user_id long, channel_id int, weights array<double>")
+    articles = spark.createDataFrame([(i, 3, [3.0] + [float(i)] * 12) for i in [1, 1, 2, *range(10, 60)]],
+                                     "article_id long, channel_id int, features array<double>")
+    acted = spark.createDataFrame([(1, 1, True), (5, 2, False)], "user_id long, article_id long, clicked boolean")
+    out = rows(ctr.ctr_samples(acted, users, articles, dims=23).select("user_id", "article_id", F.get("features", F.lit(3)), "clicked"))
+    assert out == [(1, 1, 0.5, 1), (1, 1, 0.5, 1), (5, 2, 0.0, 0)]
+    assert moved[0].count() == 3
