@@ -31,6 +31,8 @@ from recoflow.llm.common import free_name, read, split_by_ids
 from recoflow.llm.jaccard_join import SHINGLE, SLICE_BYTES, SPLIT, _needed, frequent, linked
 from recoflow.session import materialize
 
+SET_BYTES = 1 << 20     # of text whose sets are built at once; a word takes about a hundred bytes meanwhile
+
 
 def _line_rows(data, at) -> tuple[np.ndarray, np.ndarray]:
     """Where the lines of rows at[0]..at[-1] begin (n + 1 places, feeds included), and the row of each.
@@ -78,7 +80,7 @@ def _profile(batches):
         ids, hashes = batch.column("doc_id"), batch.column("text_hash")
         data, at = words.buffers(batch.column("text"))
         seen, tokens = np.zeros(0, np.int64), []
-        for low, high in words.slices(at, SLICE_BYTES):
+        for low, high in words.slices(at, SET_BYTES):
             begin, row = _line_rows(data, at[low:high + 1])
             whole, hashed, first = _classes(data, begin)
             line = np.arange(len(row)) - np.searchsorted(row, row)
@@ -109,7 +111,7 @@ def _postings(shipped):
         order, seen = shipped.value, set()
         for batch in batches:
             data, at = words.buffers(batch.column("text"))
-            for low, high in words.slices(at, SLICE_BYTES):
+            for low, high in words.slices(at, SET_BYTES):
                 begin, _ = _line_rows(data, at[low:high + 1])
                 whole, hashed, first = _classes(data, begin)
                 fresh = np.zeros(len(whole), bool)

@@ -33,7 +33,7 @@ EPOCHS = 4
 MIN_DOCS = 4
 MAX_WEIGHTS = 1 << 20
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.0
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 STEMS = (4, 6)         # bytes of a longer word that count as a word of their own
 _PAIR, _SKIP, _STEM = (np.uint64(f) for f in (0xD6E8FEB86659FD93, 0xCA5A826395121157, 0x9FB21C651E98DF25))
 

@@ -104,3 +104,21 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())]))
     assert jaccard_join.near_duplicates(empty).count() == 0
     assert line_dedup.remove_lines(empty).count() == 0
+
+
+def test_line_sets_are_built_in_small_parts(monkeypatch):
+    """However much text a batch has, sets of at most about a megabyte are built at once; parts change no row."""
+    import pyarrow as pa
+
+    from recoflow.llm import line_dedup
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(40)), pa.array(range(40)), pa.array([f"one two three four five {i % 7}\nsix {i}" for i in range(40)])],
+        names=["doc_id", "text_hash", "text"])
+    sizes, sets = [], line_dedup._sets
+    monkeypatch.setattr(line_dedup, "_sets", lambda hashed, first: sizes.append(len(hashed)) or sets(hashed, first))
+    rows = lambda: [r for part in line_dedup._profile(iter([batch])) for r in part.to_pylist()]
+    whole = rows()
+    monkeypatch.setattr(line_dedup, "SET_BYTES", 100)
+    sizes.clear()
+    assert rows() == whole
+    assert max(sizes) <= 40 and line_dedup.SET_BYTES < line_dedup.SLICE_BYTES
