@@ -6,8 +6,9 @@ Scale notes
   are combined before the shuffle.
 * The IDF table holds every term. How it is joined is left to the planner,
   which knows its size.
-* The graph of an article and all rank iterations are array expressions in its
-  row: nothing is shuffled before the ranked terms.
+* The graphs and rank iterations of a batch of articles are array operations
+  (``word_graphs``): nothing is shuffled before the ranked terms, and terms that
+  cannot be among the best stay in the batch.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recoflow.functions import text as tx
+from recoflow.operators import word_graphs
 from recoflow.operators.ranks import range_rank
 
 
@@ -110,6 +113,19 @@ def tfidf_topk(tokens: DataFrame, idf: DataFrame, k: int = 20) -> DataFrame:
             .drop("rank"))
 
 
+def _candidates(docs: DataFrame, text_col: str, min_len: int, stopwords: Sequence[str],
+                tokenizer: Callable[[Column], Column] | None) -> DataFrame:
+    """(article_id, channel_id, words): words that are no candidates keep their place as the empty term."""
+    split = tokenizer(F.col(text_col)) if tokenizer else tx.split_words(F.col(text_col))
+    words = F.transform(split, lambda w: F.when(tx.is_keyword(w, min_len, stopwords), w).otherwise(""))
+    return docs.select("article_id", "channel_id", words.alias("words"))
+
+
+def _schema(docs: DataFrame, rest: str) -> T.StructType:
+    fields = [T.StructField(c, docs.schema[c].dataType) for c in ("article_id", "channel_id")]
+    return T.StructType([*fields, *T.StructType.fromDDL(rest).fields])
+
+
 def word_graph(docs: DataFrame, text_col: str = "sentence", window: int = 5, min_len: int = 3,
                stopwords: Sequence[str] = (),
                tokenizer: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -120,32 +136,9 @@ def word_graph(docs: DataFrame, text_col: str = "sentence", window: int = 5, min
     numbers the article's candidates from 1; each node has its term and ``nbrs``,
     the numbers of its neighbours, one entry per common occurrence.
     """
-    split = tokenizer(F.col(text_col)) if tokenizer else tx.split_words(F.col(text_col))
-    # Words that are no candidates keep their place under the empty term.
-    entries = F.array_sort(F.transform(split, lambda w, p: F.struct(
-        F.when(tx.is_keyword(w, min_len, stopwords), w).otherwise("").alias("t"), p.alias("p"))))
-
-    def graph(e: Column) -> Column:
-        first = F.transform(e, lambda x, k: F.when((k == 0) | (x["t"] != F.get(e, k - 1)["t"]), k))
-        base = F.when(F.get(e, F.lit(0))["t"] == "", 0).otherwise(1)
-
-        def numbered(starts: Column) -> Column:
-            run = lambda k, j: F.slice(e, k + 1, F.coalesce(F.get(starts, j + 1), F.size(e)) - k)
-            number = F.transform(F.array_sort(F.flatten(F.transform(starts, lambda k, j: F.transform(
-                run(k, j), lambda x: F.struct(x["p"].alias("p"), (j + base).alias("i")))))), lambda x: x["i"])
-
-            def nodes(at: Column) -> Column:
-                around = [d for d in range(1 - window, window) if d]
-                near = lambda p: F.filter(F.array(*[F.get(at, p + d) for d in around]), lambda i: i > 0)
-                return F.filter(F.transform(starts, lambda k, j: F.struct(
-                    (j + base).alias("i"), F.get(e, k)["t"].alias("term"),
-                    F.flatten(F.transform(run(k, j), lambda x: near(x["p"]))).alias("nbrs"))), lambda n: n["i"] > 0)
-
-            return let(number, nodes)
-
-        return let(F.filter(first, lambda k: k.isNotNull()), numbered)
-
-    return docs.select("article_id", "channel_id", let(entries, graph).alias("nodes"))
+    words = _candidates(docs, text_col, min_len, stopwords, tokenizer)
+    return words.mapInArrow(word_graphs.node_lists(window),
+                            _schema(words, "nodes array<struct<i: int, term: string, nbrs: array<int>>>"))
 
 
 def textrank(docs: DataFrame, text_col: str = "sentence", window: int = 5, k: int = 20,
@@ -158,32 +151,14 @@ def textrank(docs: DataFrame, text_col: str = "sentence", window: int = 5, k: in
     (1 - d) + d * sum(w / weight(neighbour) * rank(neighbour)), all nodes at once.
     Ranks are then scaled as (r - min/10) / (max - min/10). Order is by the
     value rounded to 8 places, ties by term. Tags are not removed first.
+    A node without neighbours has no rank.
     """
-    graph = word_graph(docs, text_col, window, min_len, stopwords, tokenizer)
-
-    def iterate(nodes: Column) -> Column:
-        # The state is rank / weight, which is what neighbours read.
-        size = F.size(F.filter(nodes, lambda n: F.size(n["nbrs"]) > 0))
-        start = let(size, lambda s: F.transform(nodes, lambda n: F.try_divide(F.lit(1.0), s * F.size(n["nbrs"]))))
-        pull = lambda n, state: F.aggregate(
-            n["nbrs"], F.lit(0.0), lambda acc, j: acc + F.get(state, j - 1))
-        # A node without neighbours has no rank: its division gives null.
-        step = lambda state: F.transform(nodes, lambda n: F.try_divide(
-            F.lit(1 - damping) + F.lit(damping) * pull(n, state), F.size(n["nbrs"])))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(iters)), start, lambda state, _: step(state))
-
-    def ranks(nodes: Column) -> Column:
-        pairs = F.zip_with(nodes, iterate(nodes), lambda n, s: F.struct(
-            n["term"].alias("term"), (F.size(n["nbrs"]) * s).alias("r")))
-        return F.filter(pairs, lambda x: x["r"].isNotNull())
-
-    def scaled(found: Column) -> Column:
-        values = F.transform(found, lambda x: x["r"])
-        return let(F.array_max(values), lambda hi: let(F.array_min(values), lambda lo: F.transform(
-            found, lambda x: F.struct(
-                (-F.round((x["r"] - lo / 10) / (hi - lo / 10), 8)).alias("neg"), x["term"].alias("term")))))
-
-    best = let(F.col("nodes"), lambda nodes: let(ranks(nodes), scaled))
+    words = _candidates(docs, text_col, min_len, stopwords, tokenizer)
+    graph = words.mapInArrow(word_graphs.best_ranked(window, k, iters, damping, 8), _schema(
+        words, "low double, high double, found array<struct<term: string, r: double>>"))
+    lo, hi = F.col("low"), F.col("high")
+    best = F.transform("found", lambda x: F.struct(
+        (-F.round((x["r"] - lo / 10) / (hi - lo / 10), 8)).alias("neg"), x["term"].alias("term")))
     return graph.select(
         "article_id", "channel_id", F.explode_outer(F.slice(F.sort_array(best), 1, k)).alias("b"),
     ).where(F.col("b").isNotNull()).select(

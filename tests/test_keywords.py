@@ -135,3 +135,42 @@ def test_article_profile(tables, global_topics):
            K.article_profile(again, tfidf, idf, global_topics=global_topics).collect()}
     topics = ["bbb", "ccc"] if global_topics else ["bbb"]
     assert out == {1: ({"aaa": 2.0, "bbb": 1.5}, topics), 2: ({"ccc": 4.0}, ["ccc"])}
+
+
+def test_ranks_do_not_depend_on_slices(spark, rows, monkeypatch):
+    """Graphs are built for many articles at once, not by expressions over each word."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["of", "aaa", "bbb", "ccc", "ddd", "éé", "ééé"], k=n)) for n in (0, 1, 9, 50, 3, 200, 30)] + [None]
+    whole = K.textrank(docs(spark, texts), k=2)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "aggregate(" not in plan
+    together = rows(whole)
+    real = K.word_graphs.best_ranked
+
+    def by_few(*args):
+        def run(batches):
+            from recoflow.operators import word_graphs
+            word_graphs.SLICE_WORDS = 10
+            yield from real(*args)(batches)
+        return run
+
+    monkeypatch.setattr(K.word_graphs, "best_ranked", by_few)
+    assert rows(K.textrank(docs(spark, texts), k=2)) == together
+    assert {r[0] for r in together} == {2, 3, 4, 5, 6}
+
+
+def test_word_graph_of_repeats_and_gaps(spark):
+    out = {r["article_id"]: r["nodes"] for r in
+           K.word_graph(docs(spark, ["bbb of aaa bbb", "of", None, "ddd"]), window=3).collect()}
+    assert {i: [tuple(n) for n in nodes] for i, nodes in out.items()} == {
+        0: [(1, "aaa", [2, 2]), (2, "bbb", [1, 1])], 1: [], 2: [], 3: [(1, "ddd", [])]}
+
+
+def test_few_large_parts_are_dealt_by_rows(spark, monkeypatch):
+    from recoflow.sources import adapters
+    monkeypatch.setattr(adapters, "TASK_ROWS", 10, raising=False)
+    cores = spark.sparkContext.defaultParallelism
+    large, small = spark.range(0, 1000, 1, 1), spark.range(0, 20, 1, 1)
+    assert adapters.spread(large, "id").rdd.getNumPartitions() == 100
+    assert adapters.spread(small, "id").rdd.getNumPartitions() == cores
+    assert adapters.spread(spark.range(0, 0, 1, 1), "id").count() == 0
