@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from recoflow.operators.ranks import range_rank
 from recoflow.session import materialize
 
-SIZE = 1024
+SIZE = 8192         # vectors of a block: what is shuffled and sent on goes with vectors times blocks
+PRODUCTS = 1 << 21  # scores computed at once
+EXACT = 1 << 14     # scores summed exactly at once
 SLACK = 1e-9        # relative; far above the rounding of a product of doubles
 
 
@@ -46,6 +48,29 @@ def _packed(rows: DataFrame, by: str, size: int) -> DataFrame:
         F.flatten(F.transform("rows", lambda r: r["vector"])).alias("vectors"), "first", "last"), "packed")
 
 
+def _best(asked: np.ndarray, items: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, item, score) of the n best items of each asked vector, best first, ties to the earlier item.
+
+    The last digits of a matrix product depend on its shape. So it only tells who may be
+    among the best, and their scores are computed one by one, alike in every block.
+    """
+    slack = 1e-12 * np.linalg.norm(asked, axis=1) * np.linalg.norm(items, axis=1).max(initial=0.0)
+    found = []
+    step = max(1, PRODUCTS // len(items))
+    for low in range(0, len(asked), step):
+        rough = asked[low:low + step] @ items.T
+        enough = np.partition(rough, len(items) - n, axis=1)[:, len(items) - n] - slack[low:low + step]
+        row, item = np.nonzero(rough >= enough[:, None])
+        row += low
+        scores = np.concatenate([(items[item[i:i + EXACT]] * asked[row[i:i + EXACT]]).sum(axis=1)
+                                 for i in range(0, len(row), EXACT)])
+        order = np.lexsort((item, -scores, row))
+        row, item, scores = row[order], item[order], scores[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < n
+        found.append((row[keep], item[keep], scores[keep]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _scorer(k: int):
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -53,21 +78,8 @@ def _scorer(k: int):
                 ids, q_ids = np.asarray(ids), np.asarray(q_ids)
                 by_id = np.argsort(ids, kind="stable")
                 items = np.asarray(flat).reshape(len(ids), -1)[by_id]
-                asked, ids, n = np.asarray(q_flat).reshape(len(q_ids), -1), ids[by_id], min(k, len(ids))
-                rough = asked @ items.T
-                # The last digits of a matrix product depend on its shape. So it only tells who may be
-                # among the best, and their scores are computed one by one, alike in every block.
-                slack = 1e-12 * np.linalg.norm(asked, axis=1) * np.linalg.norm(items, axis=1).max(initial=0.0)
-                enough = np.partition(rough, len(ids) - n, axis=1)[:, len(ids) - n] - slack
-                found = []
-                for row, vector, least in zip(rough, asked, enough):
-                    near = np.nonzero(row >= least)[0]
-                    scores = (items[near] * vector).sum(axis=1)
-                    best_first = np.argsort(-scores, kind="stable")[:n]     # stable: ties in order of ids
-                    found.append((ids[near[best_first]], scores[best_first]))
-                yield pd.DataFrame({
-                    "query_id": np.repeat(q_ids, n), "item_id": np.concatenate([i for i, _ in found]),
-                    "score": np.concatenate([s for _, s in found])})
+                row, item, score = _best(np.asarray(q_flat).reshape(len(q_ids), -1), items, min(k, len(ids)))
+                yield pd.DataFrame({"query_id": q_ids[row], "item_id": ids[by_id][item], "score": score})
     return best
 
 
@@ -128,6 +140,11 @@ def top_products(queries: DataFrame, items: DataFrame, query_key: str, item_key:
     Empty tables give no rows. Equal to multiplying everything.
     """
     first, chunks, blocks, pairs = plan(queries, items, query_key, item_key, k, size)
-    rest = _score(pairs.join(_asking(chunks), "q_no").join(blocks.select("no", "ids", "vectors"), "no"), k)
+    # Each pair of blocks is a product of its own: fixed partitions, not merged by size.
+    pairs, each = materialize(pairs, "pairs"), ["q_no", "no"]
+    partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = pairs.join(_asking(chunks), "q_no").repartition(partitions, *each)
+    held = pairs.join(blocks.select("no", "ids", "vectors"), "no").repartition(partitions, *each)
+    rest = _score(asked.join(held, each), k)
     found = _top(first.drop("rank").unionByName(rest), k)
     return found.select(F.col("query_id").alias(query_key), F.col("item_id").alias(item_key), "score", "rank")

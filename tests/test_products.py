@@ -38,6 +38,19 @@ def test_products_equal_brute_force_and_skip_blocks(spark):
     assert pairs.count() < 0.5 * chunks.count() * (blocks.count() - 1)
 
 
+def test_one_pair_of_blocks_is_multiplied_in_parts(monkeypatch):
+    """What a pair needs is bounded, and no score depends on the parts."""
+    rng = np.random.default_rng(2)
+    asked, items = rng.integers(-3, 4, (50, 5)).astype(float), rng.integers(-3, 4, (40, 5)).astype(float)
+    whole = products._best(asked, items, 6)
+    monkeypatch.setattr(products, "PRODUCTS", 90)
+    monkeypatch.setattr(products, "EXACT", 7)
+    parts = products._best(asked, items, 6)
+    assert all((a == b).all() for a, b in zip(whole, parts))
+    expected = brute(list(enumerate(asked)), list(enumerate(items)), 6)
+    assert [(int(q), int(i), s) for q, i, s in zip(*whole)] == [r[:3] for r in sorted(expected, key=lambda r: (r[0], r[3]))]
+
+
 def test_products_of_few_odd_and_no_rows(spark):
     nan, inf = float("nan"), float("inf")
     items = table(spark, [(1, [1.0, 2.0]), (2, [nan, 1.0]), (3, [inf, 0.0]), (4, None), (5, [None, 1.0]),
