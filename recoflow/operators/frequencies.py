@@ -10,6 +10,10 @@ counts are a function of the stored versions alone, so an hour may be repeated
 after a lost run, replaced, or come late: the hours after it that republished
 its articles are then counted again. Sums over all hours equal a full count of
 each article's newest version.
+
+The words of a version are written once and never shuffled, but for articles that
+appear twice in an hour: which versions an hour withdraws is found from their ids
+and places, and told to the tasks that read them by one bit per stored version.
 """
 
 from __future__ import annotations
@@ -37,13 +41,21 @@ def _write(df: DataFrame, path: str, by: list[str] = []) -> None:
 
 def _changes(versions: DataFrame, hour: str, touched: list[int]) -> DataFrame:
     """(keyword, df, n) that ``hour`` adds, less what its articles had before."""
-    rows = versions.where(F.col("bucket").isin(touched) & (F.col("hour") <= hour))
-    now = rows.where(F.col("hour") == hour).select("article_id").withColumn("now", F.lit(True))
-    # Hours of a republished article only; its texts are joined to the two that matter.
-    newest = (rows.where(F.col("hour") < hour).join(now, "article_id", "left_semi")
-              .groupBy("article_id", "bucket").agg(F.max("hour").alias("hour")))
-    gone = rows.join(newest, ["article_id", "bucket", "hour"], "left_semi").withColumn("sign", F.lit(-1))
-    signed = rows.where(F.col("hour") == hour).withColumn("sign", F.lit(1)).unionByName(gone)
+    place = ["hour", "bucket", "_file", "_word"]
+    rows = versions.where(F.col("bucket").isin(touched) & (F.col("hour") <= hour)).select(
+        *versions.columns, F.col("_metadata.file_name").alias("_file"),
+        F.shiftright("_metadata.row_index", 6).alias("_word"),
+        F.col("_metadata.row_index").bitwiseAND(F.lit(63)).cast("int").alias("_bit"))
+    # The newest version before this hour of each of its articles, by ids and places alone.
+    is_now = F.col("hour") == hour
+    newest = rows.groupBy("article_id").agg(
+        F.max(is_now).alias("now"), F.max(F.when(~is_now, F.struct(*place, "_bit"))).alias("last"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bit"))
+    gone = (newest.where("now AND last IS NOT NULL").select("last.*")
+            .groupBy(*place).agg(F.bit_or(one).alias("_gone")))
+    signed = rows.join(F.broadcast(gone), place, "left").withColumn(
+        "sign", F.when(is_now, F.lit(1)).when(F.col("_gone").bitwiseAND(one) != 0, F.lit(-1)))
+    signed = signed.where(F.col("sign").isNotNull())
     entry = F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf"))
     terms = signed.select("sign", F.explode(F.concat(F.array(entry), F.coalesce("terms", F.array()))).alias("t"))
     return terms.groupBy(F.col("t.term").alias("keyword")).agg(
@@ -51,6 +63,20 @@ def _changes(versions: DataFrame, hour: str, touched: list[int]) -> DataFrame:
     ).where((F.col("df") != 0) | (F.col("n") != 0))
 
 
+def _versions(tokens: DataFrame) -> DataFrame:
+    """(article_id, terms): one version per article; only articles that appear twice are moved."""
+    size = F.size("terms")
+    best = Window.partitionBy("article_id").orderBy(size.desc(), F.col("terms").desc())
+    tokens = tokens.where(F.col("article_id").isNotNull()).withColumn("article_id", F.col("article_id").cast("long"))
+    counted = lambda t: keywords.term_counts(t).select("article_id", "terms")
+    twice = materialize(tokens.groupBy("article_id").count().where(F.col("count") > 1).select("article_id"), "twice")
+    if twice.isEmpty():
+        return counted(tokens)
+    again = counted(tokens.join(twice, "article_id", "left_semi"))
+    again = again.withColumn("_n", F.row_number().over(best)).where(F.col("_n") == 1).drop("_n")
+    return counted(tokens.join(twice, "article_id", "left_anti")).unionByName(again)
+
+
 def add_hour(tokens: DataFrame, path: str, hour: str, buckets: int = 256) -> list[str]:
     """Publish (article_id, channel_id, words) as the articles of ``hour`` (a sortable text);
     the hours that were counted.
@@ -62,12 +88,10 @@ def add_hour(tokens: DataFrame, path: str, hour: str, buckets: int = 256) -> lis
     """
     spark = tokens.sparkSession
     root = path.rstrip("/")
-    size = F.size("terms")
-    best = Window.partitionBy("article_id").orderBy(size.desc(), F.col("terms").desc())
-    new = (keywords.term_counts(tokens).where(F.col("article_id").isNotNull())
-           .select(F.col("article_id").cast("long").alias("article_id"), "terms")
-           .withColumn("_n", F.row_number().over(best)).where(F.col("_n") == 1).drop("_n"))
-    new = materialize(tables.with_bucket(new, ["article_id"], buckets), "versions")
+    # Written beside the table, whose name it takes when the old ids are known.
+    staged, target = f"{root}/staged/hour={hour}", f"{root}/versions/hour={hour}"
+    _write(tables.with_bucket(_versions(tokens), ["article_id"], buckets), staged, ["bucket"])
+    new = _read(spark, staged, "article_id long, terms array<struct<term: string, tf: long>>, bucket int")
     versions = _read(spark, f"{root}/versions", VERSIONS)
     ids = new.select("article_id", "bucket").unionByName(
         versions.where(F.col("hour") == hour).select("article_id", "bucket"))
@@ -76,7 +100,7 @@ def add_hour(tokens: DataFrame, path: str, hour: str, buckets: int = 256) -> lis
     later = versions.where(F.col("bucket").isin(touched) & (F.col("hour") > hour)).join(
         ids, ["article_id", "bucket"], "left_semi").select("hour").distinct()
     hours = [hour, *sorted(r[0] for r in later.collect())]                   # at most one text per hour
-    _write(new, f"{root}/versions/hour={hour}", ["bucket"])
+    tables.move(spark, staged, target)
     versions = _read(spark, f"{root}/versions", VERSIONS)
     for h in hours:
         # A later hour changed in the touched buckets only; the others are read as well, to count it whole.
