@@ -2,8 +2,8 @@
 
 Scale notes
 -----------
-* Term counts of a document are computed inside its row; document frequencies
-  are combined before the shuffle.
+* Term counts of a document are computed inside its row; document frequencies are
+  counted for a batch of articles at once (``word_counts``) and combined before the shuffle.
 * The IDF table holds every term. How it is joined is left to the planner,
   which knows its size.
 * The graphs and rank iterations of a batch of articles are array operations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recoflow.functions import text as tx
-from recoflow.operators import word_graphs
+from recoflow.operators import word_counts, word_graphs
 from recoflow.operators.ranks import range_rank
 
 
@@ -84,9 +84,8 @@ def idf_table(tokens: DataFrame, vocab_size: int | None = None) -> DataFrame:
     idf = ln((m + 1) / (df + 1)) over m documents; the index is the frequency
     rank, ties by term, counted in ranges of terms.
     """
-    exploded = term_rows(tokens).select("t")
-    frequencies = exploded.groupBy(F.col("t.term").alias("keyword")).agg(
-        F.count(F.lit(1)).alias("df"), F.sum("t.tf").alias("n"))
+    counted = tokens.select("words").mapInArrow(word_counts.counts, word_counts.COUNTS)
+    frequencies = counted.groupBy("keyword").agg(F.sum("df").alias("df"), F.sum("n").alias("n"))
     if vocab_size is not None:
         frequencies = frequencies.orderBy(F.desc("n"), "keyword").limit(vocab_size)
     documents = tokens.agg(F.count(F.lit(1))).scalar()
