@@ -122,3 +122,22 @@ def test_line_sets_are_built_in_small_parts(monkeypatch):
     sizes.clear()
     assert rows() == whole
     assert max(sizes) <= 40 and line_dedup.SET_BYTES < line_dedup.SLICE_BYTES
+
+
+def test_lines_without_python(spark, monkeypatch):
+    """Line dedup runs as DataFrame operations only, and long lists end in the same lines as short ones."""
+    base = passage(1)
+    rows = [(i, "\n".join([" ".join(changed(base, i)), f"own {i}", " ".join(changed(passage(6, 30), i % 30, (i * 7) % 30))])) for i in range(24)]
+    rows += [(30, " ".join(base) + "\t\n  " + " ".join(base).title()), (31, "Ä  B c d É f\nä b c d é f\nÄ B\fC\rD É\vF")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(type(df), name, lambda *_: pytest.fail("runs Python on the executors"))
+    lines = [(d, i, line) for d, t in rows for i, line in enumerate(t.split("\n"))]
+    at = groups([shingles(line) for *_, line in lines])
+    want = {d: "\n".join(line for k, (e, _, line) in enumerate(lines) if e == d and (at[k] == k or not shingles(line))) for d, _ in rows}
+    fates = lambda: {r.doc_id: r.text for r in line_dedup.remove_lines(df).collect()}
+    assert fates() == want
+    monkeypatch.setattr(line_dedup, "CROWD", 2)
+    assert fates() == want
+    monkeypatch.setattr(line_dedup, "MANY", 0)
+    assert fates() == want
