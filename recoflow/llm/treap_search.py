@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from recoflow.llm import words
 from recoflow.llm.common import read
-from recoflow.session import materialize, scratch_dir
+from recoflow.session import materialize, scratch_dir, settings
 
 SHARD_BYTES = 8 << 20       # text of a shard
 SHARD_DOCS = 4096           # documents of a shard
@@ -109,7 +109,7 @@ class Tree:
             both = np.empty(2 * len(packed), np.uint8)
             both[::2], both[1::2] = packed & 15, packed >> 4
             at += len(packed)
-            tops.append(np.frombuffer(blob, "<u2", many, at).astype(np.int64) * ROUND)
+            tops.append(np.frombuffer(blob, "<u2", many, at).astype(np.int32) * ROUND)
             at += 2 * many
             bits.append(both[:many])
             below = _POP[bits[-1]].astype(np.int64)
@@ -120,9 +120,10 @@ class Tree:
         column = self._columns(bits, height)
         self.height, self.leaves = height, size
         self.bits = np.concatenate([*bits, np.zeros(many + 1, np.uint8)])
-        self.first = np.concatenate([*firsts, np.zeros(many + 1, np.int64)])
-        self.top = np.concatenate([*tops, impacts(tf, columns_of_leaves_m[column]), [0]])
         self.empty = size + many
+        numbers = np.int32 if self.empty < 1 << 31 else np.int64
+        self.first = np.concatenate([*firsts, np.zeros(many + 1, np.int64)], dtype=numbers, casting="same_kind")
+        self.top = np.concatenate([*tops, impacts(tf, columns_of_leaves_m[column]), [0]], dtype=np.int32, casting="same_kind")
 
     @staticmethod
     def _columns(bits: list[np.ndarray], height: int) -> np.ndarray:
@@ -212,6 +213,10 @@ def _shard(data: np.ndarray, at: np.ndarray, docs: int, terms: int):
 
 
 INDEX = ["sizes", "terms", "rows", "dfs", "tree"]
+# A row group is a shard: writers and readers hold one of them, not all of a file. Sizes alone are looked at every
+# 100 rows only, and the least and greatest values of a row group, whole shards, are kept until its file ends.
+ROW_GROUPS = {"parquet.block.row.count.limit": "1", "parquet.column.statistics.enabled": "false",
+              "parquet.enable.dictionary": "false"}
 
 
 def build(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, int, int]:
@@ -239,8 +244,7 @@ def build(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
                            *[T.StructField(n, T.BinaryType()) for n in INDEX]])
     names = schema.fieldNames()
     path = scratch_dir(docs.sparkSession, "treaps")
-    # Small row groups: a reader holds one of them, not all shards of a file.
-    source.mapInArrow(run, schema).write.option("parquet.block.size", 16 << 20).parquet(path)
+    source.mapInArrow(run, schema).write.options(**ROW_GROUPS).parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path), n_docs, n_terms
 
 
@@ -339,9 +343,11 @@ def search(index: DataFrame, n_docs: int, n_terms: int, items: DataFrame, k: int
     """(item_id, rank, doc_id, score): the k best documents of every item, from a built index."""
     item_type, doc_type = items.schema[item_id].dataType, index.schema["ids"].dataType.elementType
     found = None
-    for block in item_blocks(items, item_id, text, block_bytes):
-        part = materialize(_search_block(index, block, n_docs, n_terms, k, item_type, doc_type), "found")
-        found = part if found is None else found.unionByName(part)
+    # A batch that a task reads is a shard, not 64 MB of them.
+    with settings(index.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}):
+        for block in item_blocks(items, item_id, text, block_bytes):
+            part = materialize(_search_block(index, block, n_docs, n_terms, k, item_type, doc_type), "found")
+            found = part if found is None else found.unionByName(part)
     if found is None:
         found = index.sparkSession.createDataFrame([], T.StructType([
             T.StructField("item_id", item_type), T.StructField("doc_id", doc_type), T.StructField("score", T.LongType())]))

@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import accumulate
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from recoflow.llm import alignment, catalog, maxscore, treap_search
@@ -227,6 +228,17 @@ def test_lexical_search_of_nothing(spark):
     assert [tuple(r) for r in treap_search.search(*treap_search.build(some), asked).collect()] == lexical([(1, "a b"), (2, "c")], [(1, "a")])
 
 
+def test_a_row_group_of_the_index_is_a_shard(spark, monkeypatch):
+    """No reader or writer holds several shards, nor keeps their bytes as statistics."""
+    monkeypatch.setattr(treap_search, "SHARD_DOCS", 4)
+    frame = spark.createDataFrame([(i, f"word{i} word{i % 3}") for i in range(40)], "doc_id long, text string").coalesce(1)
+    index, docs, _ = treap_search.build(frame)
+    footers = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    groups = [m.row_group(i) for m in footers for i in range(m.num_row_groups)]
+    assert docs == 40 and [g.num_rows for g in groups] == [1] * 10
+    assert not any(g.column(c).is_stats_set for g in groups for c in range(g.num_columns))
+
+
 def test_tree_bounds_and_leaves():
     """Each node's maximum bounds its leaves, and leaves hold the exact impacts."""
     rng = np.random.default_rng(1)
